@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 PY_SPACE = r"[\s\x1c-\x1f]"
 
 # Fixed value: the line ends of str.splitlines().
-LINE_BREAK = r"(?:\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ])"
+LINE_BREAK = r"(?:\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029])"
 
 
 def strip(col: Column) -> Column:
