@@ -33,7 +33,7 @@ class MappingTables:
     ambiguous: DataFrame  # id, piece, candidates[]
     missing_samples: DataFrame  # id, reason
     shift_histogram: DataFrame  # shift, n
-    mapping: DataFrame  # key, row: what the provenance lookup reads
+    mapping: DataFrame  # id, row: what the provenance lookup reads
 
 
 def shared_texts(rows: DataFrame, questions: DataFrame) -> DataFrame:
@@ -76,12 +76,13 @@ def map_notes(
 ) -> MappingTables:
     """Build the report tables for ``notes (ord, id, note)`` and ``bank (ord, idx_raw, question)``.
 
-    With ``work_dir`` the two steps that most tables share are written there and read back, so they run
-    once and later stages do not depend on the executors that ran them.
+    With ``work_dir`` the steps that several tables share are written there and read back: each runs
+    once, the texts are read once, and later stages do not depend on the executors that ran them.
     """
     spark = notes.sparkSession
     rows = keyed(family_notes(notes.select("ord", F.col("id").cast("string"), "note"), family))
-    questions = usable_questions(bank)
+    rows = _settle(spark, rows, work_dir, "rows")
+    questions = _settle(spark, usable_questions(bank), work_dir, "questions")
     texts = _settle(spark, shared_texts(rows, questions), work_dir, "texts")
     dropped = _settle(spark, later_rows(rows, texts.where(F.col("n_ids") > 0)), work_dir, "dropped")
     kept = _settle(spark, kept_rows(rows, texts, dropped), work_dir, "kept")
@@ -102,9 +103,7 @@ def map_notes(
 
 def id_rows(matched: DataFrame) -> DataFrame:
     """One row per id; where an id was matched with several texts, the last match stays."""
-    return matched.groupBy(F.lower("id").alias("key"), "id").agg(
-        F.max_by("first_idx", "ord").alias("row")
-    )
+    return matched.groupBy("id").agg(F.max_by("first_idx", "ord").alias("row"))
 
 
 def ambiguous_candidates(kept: DataFrame, questions: DataFrame, piece: int = PIECE) -> DataFrame:
