@@ -1,9 +1,4 @@
-"""From a model reply to a record: read the JSON, or salvage it, and conform it to the schema.
-
-Parsing gives a variant. Known differences from Python's ``json``: ``NaN`` and ``Infinity`` make a
-reply unreadable instead of becoming floats, a number too large for a double does not become infinity,
-and a lone surrogate is replaced. In each case the raw reply stays in the record.
-"""
+"""From a parsed reply to the declared fields, and the pieces of which reading a reply is made."""
 
 from __future__ import annotations
 
@@ -11,18 +6,22 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from notewright.functions.fields import Field, RecordSchema
-from notewright.functions.text import PY_SPACE, strip
+from notewright.functions.text import PY_SPACE
 
 END_MARK = "__end_of_reply__"
 
 
-def parse_whole(text: Column) -> Column:
-    """The text as one JSON value, or null where it is not exactly that.
+def listed_with_mark(text: Column) -> Column:
+    """The text parsed as the first item of a list whose second and last item is a mark.
 
-    Spark's parser stops after the first value and takes whatever follows, so the text is parsed as the
-    first item of a list that a mark closes: with trailing content the mark is not the second item.
+    Spark's parser stops after the first JSON value and ignores whatever follows. In the list, trailing
+    content is either an error or moves the mark from its place.
     """
-    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{END_MARK}"]')))
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{END_MARK}"]')))
+
+
+def whole_value(listed: Column) -> Column:
+    """The value in such a list, null where the text was not exactly one JSON value."""
     closed = (F.try_variant_get(listed, "$[1]", "string") == END_MARK) & F.try_variant_get(
         listed, "$[2]", "variant"
     ).isNull()
@@ -30,28 +29,17 @@ def parse_whole(text: Column) -> Column:
 
 
 def outer_braces(text: Column) -> Column:
-    """From the first ``{`` to the last ``}``; null where there is no such span. Linear in the text."""
-    start = F.instr(text, "{")
-    tail = F.length(F.substring_index(text, "}", -1))
-    size = F.length(text) - tail - start + F.lit(1)
-    return F.when((start > 0) & (F.instr(text, "}") > 0) & (size > 1), F.substr(text, start, size))
+    """From the first ``{`` to the last ``}``, empty where there is no such span.
+
+    Anchored at the start, so that a text with many ``{`` and no ``}`` is not tried once for each.
+    """
+    return F.regexp_extract(text, r"(?s)\A[^{]*(\{.*\})", 1)
 
 
 def drop_trailing_commas(text: Column) -> Column:
     return F.regexp_replace(text, rf"(?U),({PY_SPACE}*[}}\]])", "$1")
 
 
-def salvage(text: Column) -> Column:
-    """The JSON object inside free text: as it stands, else without trailing commas, else null."""
-    blob = outer_braces(text)
-    return F.coalesce(parse_whole(blob), parse_whole(drop_trailing_commas(blob)))
-
-
-def parse_reply(text: Column, structured: bool) -> Column:
-    """``structured`` replies are taken whole first and salvaged only where they are not JSON at all."""
-    return F.coalesce(parse_whole(text), salvage(text)) if structured else salvage(text)
-
-
 def is_record(parsed: Column) -> Column:
     """True for a JSON object; false for null, a missing reply and every other JSON value."""
     return F.try_variant_get(parsed, "$", "struct<>").isNotNull()
@@ -80,8 +68,3 @@ def conform(parsed: Column, schema: RecordSchema, typed: bool = False) -> list[C
     read = field_typed if typed else field_variant
     return [read(parsed, f).alias(f.name) for f in schema.fields]
 
-
-__all__ = [
-    "conform", "drop_trailing_commas", "field_typed", "field_variant", "is_record", "outer_braces",
-    "parse_reply", "parse_whole", "salvage", "strip",
-]

@@ -7,7 +7,7 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from notewright.functions.fields import OBJECT_LIST, Field, RecordSchema, type_names
+from notewright.functions.fields import OBJECT_LIST, Field, RecordSchema, json_path, type_names
 from notewright.functions.prompts import MAX_LIST_ITEMS
 from notewright.functions.replies import is_record
 
@@ -68,9 +68,7 @@ def _list_counts(field: Field, max_items: int) -> dict[str, Column]:
     if field.kind == OBJECT_LIST:
         outside = F.lit(0)
         for name, spec in field.attributes.items():
-            if spec.get("enum"):
-                get = _attribute(name)
-                outside += _how_many(items, lambda item, g=get, s=spec: _outside(g(item), s["enum"]))
+            outside += _how_many(items, _attribute_outside(name, spec.get("enum")))
     else:
         outside = _how_many(items, lambda item: _outside(item, field.allowed))
     return {
@@ -81,10 +79,9 @@ def _list_counts(field: Field, max_items: int) -> dict[str, Column]:
     }
 
 
-def _attribute(name: str):
-    from notewright.functions.fields import json_path
-
-    return lambda item: F.try_variant_get(item, json_path(name), "variant")
+def _attribute_outside(name: str, allowed: list | None):
+    path = json_path(name)
+    return lambda item: _outside(F.try_variant_get(item, path, "variant"), allowed)
 
 
 def _how_many(items: Column, test) -> Column:

@@ -14,12 +14,13 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from notewright.functions.fields import RecordSchema
-from notewright.functions.replies import conform, is_record, parse_reply
+from notewright.functions.replies import conform, is_record
 from notewright.operators.filters import shard_only, valid_notes, with_shard
 from notewright.operators.generate import BATCH_SIZE, chat_prompt, token_counter, with_replies
 from notewright.operators.limits import first_rows
 from notewright.operators.lookup import with_source_url
 from notewright.operators.metrics import worker_metrics
+from notewright.operators.replies import with_parsed
 from notewright.operators.resume import without_done
 from notewright.sources.shards import SHARD_SIZE, write_jsonl
 
@@ -56,11 +57,6 @@ def with_prompt(
     return notes.withColumn("prompt", chat_prompt(F.col("note"), schema, make_layout))
 
 
-def with_parsed(replies: DataFrame, structured: bool = True) -> DataFrame:
-    """Add ``parsed``, a variant; null where there is nothing to read."""
-    return replies.withColumn("parsed", parse_reply(F.col("raw_output"), structured))
-
-
 def records(
     replies: DataFrame, schema: RecordSchema, structured: bool = True, typed: bool = False,
     created_at: Column | None = None, keep: tuple[str, ...] = (),
