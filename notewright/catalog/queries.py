@@ -161,21 +161,23 @@ def text_match_first(spark, sf_dir):
 
 @query
 def resume_anti_join(spark, sf_dir):
+    notes = view(spark, sf_dir, "notes")
     done = clean_ids(view(spark, sf_dir, "resume_log"))
-    return without_done(filters.valid_notes(view(spark, sf_dir, "notes")), done)
+    return without_done(filters.valid_notes(notes), done, notes.select("id"))
 
 
 @query
 def source_url(spark, sf_dir):
-    notes = filters.valid_notes(view(spark, sf_dir, "notes")).select("ord", "id")
-    return with_source_url(notes, _lookup(spark, sf_dir))
+    notes = view(spark, sf_dir, "notes")
+    valid = filters.valid_notes(notes).select("ord", "id")
+    return with_source_url(valid, _lookup(spark, sf_dir), notes.select("id"))
 
 
 @query
 def dedup_keep_first(spark, sf_dir):
     rows = _family_rows(spark, sf_dir)
-    dropped = duplicates.later_rows(rows, duplicates.first_of_each_text(rows))
-    return duplicates.without_dropped(rows, dropped).select("ord", "id")
+    marked = duplicates.mark_first(rows, duplicates.first_of_each_text(rows))
+    return duplicates.keep_first(marked, keys=rows).select("ord", "id")
 
 
 @query
@@ -202,7 +204,9 @@ def _mapping(spark, sf_dir):
 @query
 def duplicate_groups(spark, sf_dir):
     groups = _mapping(spark, sf_dir).duplicate_groups
-    return groups.select(text_key_hex(F.col("key")).alias("text_key"), "first_id", "n_ids", "note")
+    return groups.select(
+        text_key_hex(F.col("key")).alias("text_key"), F.col("id").alias("first_id"), "n_ids", "note"
+    )
 
 
 @query
@@ -364,7 +368,9 @@ def _flat(df):
 
 def _records(spark, sf_dir, notes=None):
     notes = view(spark, sf_dir, "answered_notes") if notes is None else notes
-    sourced = with_source_url(filters.valid_notes(notes), _lookup(spark, sf_dir))
+    sourced = with_source_url(
+        filters.valid_notes(notes), _lookup(spark, sf_dir), notes.select("id")
+    )
     return enrich.records(sourced, example_schema(), typed=True, keep=("ord",))
 
 

@@ -1,8 +1,8 @@
 """Notes with the same text: find the first of each text, list the groups, name the ids to drop.
 
-A text may be shared by any number of rows. So no group is ever collected or ranked: the first row of a
-text comes out of a partial aggregate, and the other rows are found by taking the first rows away on
-``ord``, which is unique and therefore never skewed.
+A text may be shared by any number of rows. So no group is ever collected or ranked: the first place of
+a text comes out of a partial aggregate over fixed-width values, and a row is the first of its text if
+that place is its own ``ord``. As ``ord`` is unique, that comparison is a join without skew.
 """
 
 from __future__ import annotations
@@ -24,36 +24,40 @@ def keyed(notes: DataFrame) -> DataFrame:
 
 
 def first_of_each_text(rows: DataFrame) -> DataFrame:
-    """``(key, first_ord, first_id, n_ids)`` for rows ``(ord, id, key)``; rows without text left out."""
+    """``(key, first_ord, n_ids)`` for rows ``(ord, id, key)``; rows without a text are left out."""
     return (
         rows.where(F.col("key").isNotNull())
         .groupBy("key")
-        .agg(
-            F.min("ord").alias("first_ord"),
-            F.min_by("id", "ord").alias("first_id"),
-            F.count("*").alias("n_ids"),
-        )
+        .agg(F.min("ord").alias("first_ord"), F.count("*").alias("n_ids"))
     )
 
 
-def later_rows(rows: DataFrame, firsts: DataFrame) -> DataFrame:
-    """The rows whose text an earlier row already has."""
-    starts = firsts.select(F.col("first_ord").alias("ord"))
-    return rows.where(F.col("key").isNotNull()).join(starts, "ord", "left_anti")
+def mark_first(rows: DataFrame, firsts: DataFrame) -> DataFrame:
+    """Add the other columns of ``firsts`` to the first row of each text; they are null elsewhere."""
+    facts = firsts.where(F.col("first_ord").isNotNull()).drop("key")
+    return rows.join(facts, F.col("ord") == F.col("first_ord"), "left")
 
 
-def without_dropped(rows: DataFrame, dropped: DataFrame) -> DataFrame:
-    """Rows whose id was not dropped. The test is by id: an id that was dropped once is gone entirely."""
-    ids = dropped.select("id").distinct()
-    return salted_join(rows, ids, "id", "left_anti", spread_by="ord")
+def later_rows(marked: DataFrame) -> DataFrame:
+    """``(ord, id, key)`` of the rows whose text an earlier row already has."""
+    later = F.col("key").isNotNull() & F.col("first_ord").isNull()
+    return marked.where(later).select("ord", "id", "key")
 
 
-def group_members(rows_later: DataFrame, firsts: DataFrame) -> DataFrame:
+def keep_first(marked: DataFrame, keys: DataFrame | None = None) -> DataFrame:
+    """First rows and rows without a text, less those whose id belongs to a later row.
+
+    The test is by id: an id that is dropped once is gone entirely.
+    """
+    dropped = later_rows(marked).select("id").distinct()
+    rest = marked.where(F.col("key").isNull() | F.col("first_ord").isNotNull())
+    return salted_join(rest, dropped, "id", "left_anti", spread_by="ord", keys=keys)
+
+
+def group_members(marked: DataFrame) -> DataFrame:
     """``(key, ord, id)`` of all rows that share their text with another row."""
-    heads = firsts.where(F.col("n_ids") > 1).select(
-        "key", F.col("first_ord").alias("ord"), F.col("first_id").alias("id")
-    )
-    return heads.unionByName(rows_later.select("key", "ord", "id"))
+    heads = marked.where(F.col("n_ids") > 1).select("key", "ord", "id")
+    return heads.unionByName(later_rows(marked).select("key", "ord", "id"))
 
 
 def in_pieces(rows: DataFrame, group: str, value: str, name: str, piece: int = PIECE) -> DataFrame:
@@ -71,7 +75,6 @@ def in_pieces(rows: DataFrame, group: str, value: str, name: str, piece: int = P
     )
 
 
-def with_group_text(groups: DataFrame, notes: DataFrame) -> DataFrame:
-    """Put the note text back on the groups, read from the first row of each."""
-    heads = groups.withColumnRenamed("first_ord", "ord")
-    return heads.join(notes.select("ord", "note"), "ord").withColumnRenamed("ord", "first_ord")
+def with_text(groups: DataFrame, notes: DataFrame) -> DataFrame:
+    """Put the note text back, read from the row with the same ``ord``."""
+    return groups.join(notes.select("ord", "note"), "ord")

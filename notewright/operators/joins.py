@@ -2,51 +2,57 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from notewright.session import shuffle_partitions
 
 
-def heavy_keys(df: DataFrame, key: str, parts: int) -> DataFrame:
-    """Keys that hold more rows than an even share of ``parts``, with the number of pieces to cut them into.
+def heavy_keys(df: DataFrame, key: str, parts: int) -> list[tuple]:
+    """Keys with more rows than an even share of ``parts``, and into how many pieces to cut each.
 
-    There are fewer than ``parts`` such keys, whatever the data, and all their pieces together are at
-    most ``2 * parts``. That bound is what makes this table safe to broadcast.
+    There are fewer than ``parts`` such keys, whatever the data, and their pieces together are at most
+    ``2 * parts``; so this list is bounded by a setting of the session and not by the data. Finding it
+    takes one pass over the key column, counted before the shuffle.
     """
+    seen = Observation()
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
-    total = counts.agg(F.sum("_n"))
-    share = F.col("_n") * F.lit(parts)
-    return counts.where(share > total.scalar()).select(
-        key, F.ceil(share / total.scalar()).cast("int").alias("_pieces")
-    )
+    counts = counts.observe(seen, F.sum("_n").alias("total"))
+    largest = counts.orderBy(F.desc("_n")).limit(parts).collect()
+    total = seen.get["total"] or 0
+    return [(k, -(-n * parts // total)) for k, n in largest if n * parts > total]
 
 
 def salted_join(
-    left: DataFrame, right: DataFrame, key: str, how: str, spread_by: str, parts: int | None = None
+    left: DataFrame, right: DataFrame, key: str, how: str, spread_by: str,
+    keys: DataFrame | None = None, parts: int | None = None,
 ) -> DataFrame:
     """Join ``left`` to ``right`` on ``key`` with the heavy keys of ``left`` spread over many tasks.
 
-    Rows of a heavy key get a piece number from ``spread_by`` and the matching rows of ``right`` are
+    Rows of a heavy key get a piece number from ``spread_by``, and the matching rows of ``right`` are
     repeated once per piece; all other rows are joined as usual. Rows without a key match nothing and
     are spread too. ``right`` should hold few rows per key. The result is that of the plain join.
+
+    ``keys`` are the keys to look for heavy ones in, by default those of ``left``. A column that holds
+    them all, and more, serves as well; give it where ``left`` is costly to compute.
     """
     if how not in ("left", "inner", "left_anti", "left_semi"):
         raise ValueError(f"join type not supported: {how}")
-    parts = parts or shuffle_partitions(left.sparkSession)
-    heavy = F.broadcast(heavy_keys(left.select(key), key, parts))
-    pieces = F.when(F.col(key).isNull(), F.lit(parts)).otherwise(
-        F.coalesce(F.col("_pieces"), F.lit(1))
-    )
-    spread = left.join(heavy, key, "left").withColumn(
-        "_piece", _piece(F.col(spread_by), pieces)
-    ).drop("_pieces")
-    repeated = right.join(heavy, key, "left").withColumn(
-        "_piece",
-        F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_pieces"), F.lit(1)) - F.lit(1))),
-    ).drop("_pieces")
-    return spread.join(repeated, [key, "_piece"], how).drop("_piece")
-
-
-def _piece(spread_by: Column, pieces: Column) -> Column:
-    return F.pmod(F.xxhash64(spread_by), pieces.cast("bigint")).cast("int")
+    spark = left.sparkSession
+    parts = parts or shuffle_partitions(spark)
+    heavy = heavy_keys((left if keys is None else keys).select(key), key, parts)
+    pieces = F.when(F.col(key).isNull(), F.lit(parts)).otherwise(F.lit(1))
+    spread, repeated = left, right.withColumn("_piece", F.lit(0))
+    if heavy:
+        field = left.schema[key]
+        table = spark.createDataFrame(heavy, f"`{key}` {field.dataType.simpleString()}, _pieces int")
+        known = F.broadcast(table)  # fewer than ``parts`` rows
+        pieces = F.coalesce(F.col("_pieces"), pieces)
+        spread = left.join(known, key, "left")
+        last = F.coalesce(F.col("_pieces"), F.lit(1)) - F.lit(1)
+        repeated = right.join(known, key, "left").withColumn(
+            "_piece", F.explode(F.sequence(F.lit(0), last))
+        )
+    piece = F.pmod(F.xxhash64(spread_by), pieces.cast("bigint")).cast("int")
+    spread = spread.withColumn("_piece", piece).drop("_pieces")
+    return spread.join(repeated.drop("_pieces"), [key, "_piece"], how).drop("_piece")

@@ -15,10 +15,11 @@ def clean_ids(lines: DataFrame, column: str = "line") -> DataFrame:
     return ids.where(F.col("id") != "").distinct()
 
 
-def without_done(notes: DataFrame, done: DataFrame) -> DataFrame:
+def without_done(notes: DataFrame, done: DataFrame, ids: DataFrame | None = None) -> DataFrame:
     """Notes whose id is not in ``done (id)``. Rows that share a new id all stay.
 
     No broadcast is asked for: the list of done ids grows with the corpus, and the planner broadcasts
-    it by itself where its size allows. An id on very many rows is spread over the tasks.
+    it by itself where its size allows. An id on very many rows is spread over the tasks; such ids are
+    looked for in ``ids``, which may be the plain corpus where ``notes`` has been filtered by its text.
     """
-    return salted_join(notes, done.select("id"), "id", "left_anti", spread_by="ord")
+    return salted_join(notes, done.select("id"), "id", "left_anti", spread_by="ord", keys=ids)

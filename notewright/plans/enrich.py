@@ -47,7 +47,7 @@ def select_notes(
             rows = shard_only(rows, options.num_shards, options.shard)
         rows = with_shard(rows, options.num_shards)
     if done is not None:
-        rows = without_done(rows, done)
+        rows = without_done(rows, done, notes.select("id"))
     return first_rows(rows, options.max_notes, per_shard="shard" in rows.columns)
 
 
@@ -86,7 +86,7 @@ def enrich(
     count_tokens: Callable[[Column], Column] | None = None, observation: Observation | None = None,
 ) -> DataFrame:
     """Records for all selected notes. ``observation`` collects the counters of the run."""
-    chosen = with_source_url(select_notes(notes, options, done), lookup)
+    chosen = with_source_url(select_notes(notes, options, done), lookup, notes.select("id"))
     called = with_replies(
         with_prompt(chosen, schema, make_layout), make_generator, batch_size=options.batch_size
     )

@@ -1,23 +1,24 @@
 """The mapping job: which bank row does each note of one id family come from?
 
 Notes and bank are brought together by text in one aggregate over their union, so a text that a third
-of all rows share, on either side, is counted down before anything is shuffled. Everything after that is
-keyed by ``ord`` or by id. The texts themselves are never shuffled.
+of all rows share, on either side, is counted down before anything is shuffled. What that finds out
+about a text goes back to its first row only, by ``ord``. The texts themselves are never shuffled.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, fields
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from notewright.operators.duplicates import (
-    PIECE, group_members, in_pieces, keyed, later_rows, with_group_text, without_dropped,
+    PIECE, group_members, in_pieces, keep_first, keyed, later_rows, mark_first, with_text,
 )
 from notewright.operators.filters import family_notes
 from notewright.operators.joins import salted_join
 from notewright.operators.matching import bank_counts, constant_shift, shift_histogram, usable_questions
+from notewright.session import scratch_path
 
 MISSING_SAMPLES = 5
 
@@ -28,7 +29,7 @@ class MappingTables:
 
     summary: DataFrame  # one row of counts, and the shift where it is constant
     dropped_ids: DataFrame  # ord, id
-    duplicate_groups: DataFrame  # key, first_ord, first_id, n_ids, note
+    duplicate_groups: DataFrame  # key, ord and id of the first row, n_ids, note
     duplicate_members: DataFrame  # key, piece, ids[]
     ambiguous: DataFrame  # id, piece, candidates[]
     missing_samples: DataFrame  # id, reason
@@ -38,15 +39,13 @@ class MappingTables:
 
 def shared_texts(rows: DataFrame, questions: DataFrame) -> DataFrame:
     """One row per text: its first note and its first bank row, and how many of each there are."""
-    left = rows.where(F.col("key").isNotNull()).select("key", "ord", "id", "num")
+    left = rows.where(F.col("key").isNotNull()).select("key", "ord")
     right = questions.select("key", F.col("ord").alias("bank_ord"), "idx")
     return (
         left.unionByName(right, allowMissingColumns=True)
         .groupBy("key")
         .agg(
             F.min("ord").alias("first_ord"),
-            F.min_by("id", "ord").alias("first_id"),
-            F.min_by("num", "ord").alias("num"),
             F.count("ord").alias("n_ids"),
             F.min_by("idx", "bank_ord").alias("first_idx"),
             F.count("bank_ord").alias("n_candidates"),
@@ -54,46 +53,31 @@ def shared_texts(rows: DataFrame, questions: DataFrame) -> DataFrame:
     )
 
 
-def kept_rows(rows: DataFrame, texts: DataFrame, dropped: DataFrame) -> DataFrame:
-    """The rows left after duplicates are dropped, each with its match.
-
-    That is the first row of each text and the rows without a text, less those with a dropped id.
-    """
-    heads = texts.where(F.col("n_ids") > 0).select(
-        F.col("first_ord").alias("ord"), F.col("first_id").alias("id"), "num", "key",
-        "first_idx", "n_candidates",
-    )
-    textless = rows.where(F.col("key").isNull()).select(
-        "ord", "id", "num", "key",
-        F.lit(None).cast("bigint").alias("first_idx"), F.lit(0).cast("bigint").alias("n_candidates"),
-    )
-    return without_dropped(heads.unionByName(textless), dropped)
-
-
 def map_notes(
     notes: DataFrame, bank: DataFrame, family: str = "usmle", piece: int = PIECE,
     missing_samples: int = MISSING_SAMPLES, work_dir: str | None = None,
 ) -> MappingTables:
     """Build the report tables for ``notes (ord, id, note)`` and ``bank (ord, idx_raw, question)``.
 
-    With ``work_dir`` the steps that several tables share are written there and read back: each runs
-    once, the texts are read once, and later stages do not depend on the executors that ran them.
+    The steps that several tables share are written to ``work_dir``, by default a new folder in the
+    shared scratch folder, and read back: each runs once, the texts are read once, and later stages do
+    not depend on the executors that ran the earlier ones.
     """
-    spark = notes.sparkSession
-    rows = keyed(family_notes(notes.select("ord", F.col("id").cast("string"), "note"), family))
-    rows = _settle(spark, rows, work_dir, "rows")
-    questions = _settle(spark, usable_questions(bank), work_dir, "questions")
-    texts = _settle(spark, shared_texts(rows, questions), work_dir, "texts")
-    dropped = _settle(spark, later_rows(rows, texts.where(F.col("n_ids") > 0)), work_dir, "dropped")
-    kept = _settle(spark, kept_rows(rows, texts, dropped), work_dir, "kept")
+    work_dir = work_dir or scratch_path(notes.sparkSession, "mapping")
+    family_rows = family_notes(notes.select("ord", F.col("id").cast("string"), "note"), family)
+    rows = _settle(keyed(family_rows), work_dir, "rows")
+    questions = _settle(usable_questions(bank), work_dir, "questions")
+    marked = _settle(mark_first(rows, shared_texts(rows, questions)), work_dir, "marked")
+    kept = _settle(keep_first(marked, keys=rows.select("id")), work_dir, "kept")
+    kept = kept.withColumn("n_candidates", F.coalesce("n_candidates", F.lit(0)))
     matched = kept.where(F.col("n_candidates") > 0)
-    shared = texts.where(F.col("n_ids") > 1).select("key", "first_ord", "first_id", "n_ids")
     histogram = shift_histogram(matched)
+    groups = marked.where(F.col("n_ids") > 1).select("key", "ord", "id", "n_ids")
     return MappingTables(
         summary=summary(notes, bank, kept, histogram),
-        dropped_ids=dropped.select("ord", "id"),
-        duplicate_groups=with_group_text(shared, notes),
-        duplicate_members=in_pieces(group_members(dropped, shared), "key", "id", "ids", piece),
+        dropped_ids=later_rows(marked).select("ord", "id"),
+        duplicate_groups=with_text(groups, notes),
+        duplicate_members=in_pieces(group_members(marked), "key", "id", "ids", piece),
         ambiguous=ambiguous_candidates(kept, questions, piece),
         missing_samples=first_missing(kept, missing_samples),
         shift_histogram=histogram,
@@ -151,8 +135,7 @@ def write_report(tables: MappingTables, path: str, force: bool = False) -> None:
         getattr(tables, part.name).write.mode(mode).parquet(f"{path}/{part.name}")
 
 
-def _settle(spark: SparkSession, df: DataFrame, work_dir: str | None, name: str) -> DataFrame:
-    if work_dir is None:
-        return df
-    df.write.mode("overwrite").parquet(f"{work_dir}/{name}")
-    return spark.read.parquet(f"{work_dir}/{name}")
+def _settle(df: DataFrame, work_dir: str, name: str) -> DataFrame:
+    path = f"{work_dir}/{name}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
