@@ -8,21 +8,20 @@ from pyspark.sql import functions as F
 from notewright.functions.fields import Field, RecordSchema
 from notewright.functions.text import PY_SPACE
 
-END_MARK = "__end_of_reply__"
-
 
 def listed_with_mark(text: Column) -> Column:
-    """The text parsed as the first item of a list whose second and last item is a mark.
+    """The text parsed as the first item of a list whose second and last item is a hash of the text.
 
     Spark's parser stops after the first JSON value and ignores whatever follows. In the list, trailing
-    content is either an error or moves the mark from its place.
+    content is either an error or moves the hash from its place, and no text holds its own hash.
     """
-    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{END_MARK}"]')))
+    mark = F.xxhash64(text).cast("string")
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(","), mark, F.lit("]")))
 
 
-def whole_value(listed: Column) -> Column:
+def whole_value(listed: Column, text: Column) -> Column:
     """The value in such a list, null where the text was not exactly one JSON value."""
-    closed = (F.try_variant_get(listed, "$[1]", "string") == END_MARK) & F.try_variant_get(
+    closed = (F.try_variant_get(listed, "$[1]", "bigint") == F.xxhash64(text)) & F.try_variant_get(
         listed, "$[2]", "variant"
     ).isNull()
     return F.when(closed, F.try_variant_get(listed, "$[0]", "variant"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from notewright.session import shuffle_partitions
@@ -11,16 +11,16 @@ from notewright.session import shuffle_partitions
 def heavy_keys(df: DataFrame, key: str, parts: int) -> list[tuple]:
     """Keys with more rows than an even share of ``parts``, and into how many pieces to cut each.
 
+    A piece is at most a quarter of an even share, so that two pieces that meet in one task do no harm.
     There are fewer than ``parts`` such keys, whatever the data, and their pieces together are at most
-    ``2 * parts``; so this list is bounded by a setting of the session and not by the data. Finding it
+    ``5 * parts``; so this list is bounded by a setting of the session and not by the data. Finding it
     takes one pass over the key column, counted before the shuffle.
     """
-    seen = Observation()
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
-    counts = counts.observe(seen, F.sum("_n").alias("total"))
-    largest = counts.orderBy(F.desc("_n")).limit(parts).collect()
-    total = seen.get["total"] or 0
-    return [(k, -(-n * parts // total)) for k, n in largest if n * parts > total]
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
+    total = counts.agg(F.sum("n")).scalar()
+    heavy = counts.where(F.col("n") * F.lit(parts) > total)
+    pieces = F.ceil(F.col("n") * F.lit(4 * parts) / total).cast("int")
+    return [tuple(row) for row in heavy.select(key, pieces).collect()]
 
 
 def salted_join(
@@ -55,4 +55,7 @@ def salted_join(
         )
     piece = F.pmod(F.xxhash64(spread_by), pieces.cast("bigint")).cast("int")
     spread = spread.withColumn("_piece", piece).drop("_pieces")
-    return spread.join(repeated.drop("_pieces"), [key, "_piece"], how).drop("_piece")
+    columns = left.columns
+    if how in ("left", "inner"):
+        columns = columns + [c for c in right.columns if c != key]
+    return spread.join(repeated.drop("_pieces"), [key, "_piece"], how).select(*columns)

@@ -30,15 +30,15 @@ def with_parsed(replies: DataFrame, structured: bool = True, text: str = "raw_ou
     df = replies.withColumn("_whole", F.lit(None).cast("variant"))
     if structured:
         df = replies.withColumn("_l0", listed_with_mark(c(text))).withColumn(
-            "_whole", whole_value(c("_l0"))
+            "_whole", whole_value(c("_l0"), c(text))
         )
     df = (
         df.withColumn("_blob", F.when(c("_whole").isNull(), outer_braces(c(text))))
         .withColumn("_l1", listed_with_mark(c("_blob")))
-        .withColumn("_asis", whole_value(c("_l1")))
+        .withColumn("_asis", whole_value(c("_l1"), c("_blob")))
         .withColumn("_blob2", F.when(c("_asis").isNull(), drop_trailing_commas(c("_blob"))))
         .withColumn("_l2", listed_with_mark(c("_blob2")))
-        .withColumn("_mended", whole_value(c("_l2")))
+        .withColumn("_mended", whole_value(c("_l2"), c("_blob2")))
     )
     parsed = F.coalesce("_whole", "_asis", "_mended")
     # One item, so one row: Catalyst moves later filters below a projection and would copy the whole

@@ -65,3 +65,9 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         base = os.path.join(tempfile.gettempdir(), "notewright-scratch")
         os.makedirs(base, exist_ok=True)
     return f"{base.rstrip('/')}/notewright/{label}-{uuid.uuid4().hex}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether anything is at ``path``, on whatever file system that names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)

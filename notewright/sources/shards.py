@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import re
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from notewright.operators.resume import clean_ids
+from notewright.session import path_exists
 
 SHARD_SIZE = 50_000
 MAX_SHARD_BYTES = "500MB"
@@ -132,9 +132,6 @@ def write_ids(df: DataFrame, path: str) -> None:
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
     """``(id)`` from text files with one id per line; no files, no ids."""
-    try:
-        return clean_ids(spark.read.text(path), "value")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not path_exists(spark, path):
         return spark.createDataFrame([], "id string")
+    return clean_ids(spark.read.text(path), "value")

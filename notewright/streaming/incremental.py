@@ -9,22 +9,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from notewright.operators.resume import without_done
+from notewright.session import path_exists
 
 
-def done_ids(spark: SparkSession, out: str, query: str | None = None, batch: int | None = None):
+def done_ids(
+    spark: SparkSession, out: str, query: str | None = None, batch: int | None = None
+) -> DataFrame:
     """``(id)`` of all records under ``out``, except those of the batch that is being written."""
-    try:
-        stored = spark.read.option("basePath", out).parquet(out)
-    except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
+    if not path_exists(spark, out):
         return spark.createDataFrame([], "id string")
+    stored = spark.read.option("basePath", out).parquet(out)
     if query is not None:
         own = (F.col("query") == query) & (F.col("batch") == batch)
         stored = stored.where(~own)
