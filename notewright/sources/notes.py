@@ -5,11 +5,16 @@ All "first" rules go by ``ord``, a unique 64-bit number that rises in corpus ord
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROWS_PER_FILE = 1 << 40
 
+# Spark writes the scheme of a local path with one slash or with three.
+LOCAL_SCHEME = "^file:/+"
+
 
 def read_notes(
     spark: SparkSession, path: str, fmt: str = "parquet", id_col: str = "_id",
@@ -72,10 +77,13 @@ def _with_ordinal(rows: DataFrame, fmt: str, order_by: str | None) -> DataFrame:
     if len(names) == 1:
         return rows.withColumn("_ord", F.col("_metadata.row_index"))
     ranks = rows.sparkSession.createDataFrame(
-        list(enumerate(names)), "_rank bigint, _file string"
+        [(rank, re.sub(LOCAL_SCHEME, "file:/", name)) for rank, name in enumerate(names)],
+        "_rank bigint, _file string",
     )
-    placed = rows.withColumn("_file", F.col("_metadata.file_path")).withColumn(
-        "_row", F.col("_metadata.row_index")
+    placed = rows.select(
+        "*",
+        F.regexp_replace("_metadata.file_path", LOCAL_SCHEME, "file:/").alias("_file"),
+        F.col("_metadata.row_index").alias("_row"),
     )
     ranked = placed.join(F.broadcast(ranks), "_file", "left")
     place = F.coalesce("_rank", F.raise_error(F.concat(F.lit("file not listed: "), "_file")))
