@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 # covers all of them but the four separators.
 PY_SPACE = r"[\s\x1c-\x1f]"
 
-# Fixed value: the line ends of str.splitlines().
-LINE_BREAK = r"(?:\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029])"
+# Fixed value: the line ends of str.splitlines(). Java's \R lacks the three separators.
+LINE_BREAK = r"\R|[\x1c-\x1e]"
 
 
 def strip(col: Column) -> Column:
@@ -23,14 +23,17 @@ def is_blank(col: Column) -> Column:
 
 def line_count(col: Column) -> Column:
     """Number of lines as ``len(s.splitlines()) or 1``: a final line end opens no new line."""
-    body = F.regexp_replace(col, LINE_BREAK + r"\z", "")
-    return F.size(F.split(body, LINE_BREAK))
+    ends = F.right(col, F.lit(1)).rlike(LINE_BREAK).cast("int")
+    return F.size(F.split(col, LINE_BREAK)) - ends
 
 
 def word_count(col: Column) -> Column:
     """White-space separated words, the default stand-in for a tokenizer."""
-    text = strip(col)
-    return F.when(text == "", F.lit(0)).otherwise(F.size(F.split(text, rf"(?U){PY_SPACE}+")))
+    space = rf"(?U){PY_SPACE}"
+    outer = F.left(col, F.lit(1)).rlike(space).cast("int") + F.right(col, F.lit(1)).rlike(
+        space
+    ).cast("int")
+    return F.when(col == "", F.lit(0)).otherwise(F.size(F.split(col, space + "+")) - outer)
 
 
 def to_whole_number(col: Column) -> Column:

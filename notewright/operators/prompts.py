@@ -21,15 +21,25 @@ def prompt_variants(
     The tokenizers are a list the caller writes down, so each note simply becomes that many rows.
     """
     layouts = layouts or {}
+    used = {name: layouts.get(name) for name in counters}
+    kinds = list(dict.fromkeys(used.values()))
+    prompts = {
+        f"_prompt{at}": chat_prompt(F.col("note"), schema, kind) for at, kind in enumerate(kinds)
+    }
+    sizes = {}
+    for name in prompts:
+        sizes[f"{name}_chars"] = F.length(name).cast("bigint")
+        sizes[f"{name}_lines"] = line_count(F.col(name)).cast("bigint")
     sized = []
     for name, count in counters.items():
-        prompt = chat_prompt(F.col("note"), schema, layouts.get(name))
+        prompt = f"_prompt{kinds.index(used[name])}"
         sized.append(
             F.struct(
                 F.lit(name).alias("tokenizer"),
-                F.length(prompt).cast("bigint").alias("n_chars"),
-                line_count(prompt).cast("bigint").alias("n_lines"),
-                count(prompt).cast("bigint").alias("n_tokens"),
+                F.col(f"{prompt}_chars").alias("n_chars"),
+                F.col(f"{prompt}_lines").alias("n_lines"),
+                count(F.col(prompt)).cast("bigint").alias("n_tokens"),
             )
         )
-    return notes.select("ord", F.inline(F.array(*sized)))
+    full = notes.select("ord", "note").withColumns(prompts).withColumns(sizes)
+    return full.select("ord", F.inline(F.array(*sized)))

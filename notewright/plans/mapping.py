@@ -7,7 +7,7 @@ about a text goes back to its first row only, by ``ord``. The texts themselves a
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,23 +18,77 @@ from notewright.operators.duplicates import (
 from notewright.operators.filters import family_notes
 from notewright.operators.joins import salted_join
 from notewright.operators.matching import bank_counts, constant_shift, shift_histogram, usable_questions
-from notewright.session import scratch_path
+from notewright.session import path_exists, scratch_path
 
 MISSING_SAMPLES = 5
 
 
-@dataclass
-class MappingTables:
-    """The report of the job, one table per part. Lists longer than ``PIECE`` go on in further rows."""
+@dataclass(frozen=True)
+class MappingReport:
+    """The parts of the report, each a table that is planned when it is asked for.
 
-    summary: DataFrame  # one row of counts, and the shift where it is constant
-    dropped_ids: DataFrame  # ord, id
-    duplicate_groups: DataFrame  # key, ord and id of the first row, n_ids, note
-    duplicate_members: DataFrame  # key, piece, ids[]
-    ambiguous: DataFrame  # id, piece, candidates[]
-    missing_samples: DataFrame  # id, reason
-    shift_histogram: DataFrame  # shift, n
-    mapping: DataFrame  # id, row: what the provenance lookup reads
+    Lists longer than ``piece`` go on in further rows.
+    """
+
+    notes: DataFrame  # ord, id, note
+    bank: DataFrame  # ord, idx_raw, question
+    questions: DataFrame  # ord, idx, key: the usable bank rows
+    marked: DataFrame  # rows of the family; the first of each text carries what is known about it
+    kept: DataFrame  # those that are left without duplicates, with their match
+    family: str
+    piece: int = PIECE
+    max_missing: int = MISSING_SAMPLES
+
+    @property
+    def matched(self) -> DataFrame:
+        return self.kept.where(F.col("n_candidates") > 0)
+
+    @property
+    def summary(self) -> DataFrame:
+        """One row of counts, and the shift where it is constant."""
+        return summary(self.notes, self.bank, self.kept, self.shift_histogram)
+
+    @property
+    def dropped_ids(self) -> DataFrame:
+        """``ord, id`` of every row whose text an earlier row has."""
+        return later_rows(self.marked).select("ord", "id")
+
+    @property
+    def duplicate_groups(self) -> DataFrame:
+        """``key, ord, id, n_ids, note``: one row per text that several rows share, from the first."""
+        shared = self.marked.where(F.col("n_ids") > 1).select("key", "ord", "id", "n_ids")
+        return with_text(shared, family_notes(self.notes, self.family))
+
+    @property
+    def duplicate_members(self) -> DataFrame:
+        """``key, piece, ids[]`` for the same texts."""
+        return in_pieces(group_members(self.marked), "key", "id", "ids", self.piece)
+
+    @property
+    def ambiguous(self) -> DataFrame:
+        """``id, piece, candidates[]`` for ids with more than one bank row."""
+        return ambiguous_candidates(self.kept, self.questions, self.piece)
+
+    @property
+    def missing_samples(self) -> DataFrame:
+        """``id, reason`` of the first rows without a match."""
+        return first_missing(self.kept, self.max_missing)
+
+    @property
+    def shift_histogram(self) -> DataFrame:
+        """``shift, n``."""
+        return shift_histogram(self.matched)
+
+    @property
+    def mapping(self) -> DataFrame:
+        """``id, row``: what the provenance lookup reads."""
+        return id_rows(self.matched)
+
+
+REPORT_PARTS = (
+    "dropped_ids", "duplicate_groups", "duplicate_members", "ambiguous", "missing_samples",
+    "shift_histogram", "mapping", "summary",
+)
 
 
 def shared_texts(rows: DataFrame, questions: DataFrame) -> DataFrame:
@@ -56,8 +110,8 @@ def shared_texts(rows: DataFrame, questions: DataFrame) -> DataFrame:
 def map_notes(
     notes: DataFrame, bank: DataFrame, family: str = "usmle", piece: int = PIECE,
     missing_samples: int = MISSING_SAMPLES, work_dir: str | None = None,
-) -> MappingTables:
-    """Build the report tables for ``notes (ord, id, note)`` and ``bank (ord, idx_raw, question)``.
+) -> MappingReport:
+    """Run the job and return the report for ``notes (ord, id, note)`` and ``bank (ord, idx_raw, question)``.
 
     The steps that several tables share are written to ``work_dir``, by default a new folder in the
     shared scratch folder, and read back: each runs once, the texts are read once, and later stages do
@@ -70,18 +124,8 @@ def map_notes(
     marked = _settle(mark_first(rows, shared_texts(rows, questions)), work_dir, "marked")
     kept = _settle(keep_first(marked, keys=rows.select("id")), work_dir, "kept")
     kept = kept.withColumn("n_candidates", F.coalesce("n_candidates", F.lit(0)))
-    matched = kept.where(F.col("n_candidates") > 0)
-    histogram = shift_histogram(matched)
-    groups = marked.where(F.col("n_ids") > 1).select("key", "ord", "id", "n_ids")
-    return MappingTables(
-        summary=summary(notes, bank, kept, histogram),
-        dropped_ids=later_rows(marked).select("ord", "id"),
-        duplicate_groups=with_text(groups, notes),
-        duplicate_members=in_pieces(group_members(marked), "key", "id", "ids", piece),
-        ambiguous=ambiguous_candidates(kept, questions, piece),
-        missing_samples=first_missing(kept, missing_samples),
-        shift_histogram=histogram,
-        mapping=id_rows(matched),
+    return MappingReport(
+        notes, bank, questions, marked, kept, family, piece, missing_samples
     )
 
 
@@ -128,11 +172,19 @@ def summary(notes: DataFrame, bank: DataFrame, kept: DataFrame, histogram: DataF
     return stacked.agg(*(F.max(c).alias(c) for c in stacked.columns))
 
 
-def write_report(tables: MappingTables, path: str, force: bool = False) -> None:
-    """Write each table under ``path``; one that is already there stays unless ``force`` is set."""
-    for part in fields(tables):
-        mode = "overwrite" if force else "ignore"
-        getattr(tables, part.name).write.mode(mode).parquet(f"{path}/{part.name}")
+def run_mapping(
+    notes: DataFrame, bank: DataFrame, path: str, force: bool = False, **options
+) -> bool:
+    """Write the report under ``path``, unless a whole one is there already and ``force`` is not set.
+
+    The summary is written last and so tells that the report is whole. Returns whether the job ran.
+    """
+    if not force and path_exists(notes.sparkSession, f"{path}/summary/_SUCCESS"):
+        return False
+    report = map_notes(notes, bank, work_dir=f"{path}/_steps", **options)
+    for part in REPORT_PARTS:
+        getattr(report, part).write.mode("overwrite").parquet(f"{path}/{part}")
+    return True
 
 
 def _settle(df: DataFrame, work_dir: str, name: str) -> DataFrame:

@@ -5,8 +5,8 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from notewright.plans.mapping import map_notes, write_report
-from notewright.sources.lookup import lookup_from_mapping, read_lookup_table
+from notewright.plans.mapping import REPORT_PARTS, map_notes, run_mapping
+from notewright.sources.lookup import read_lookup_table
 
 NOTES = "ord bigint, id string, note string"
 BANK = "ord bigint, idx_raw string, question string"
@@ -130,12 +130,13 @@ def test_empty_inputs(spark):
 def test_report_is_kept_unless_forced(spark, tmp_path):
     path = str(tmp_path / "report")
     bank = spark.createDataFrame([(0, "5", "a")], BANK)
-    first = map_notes(spark.createDataFrame([(0, "usmle-1", "a")], NOTES), bank)
-    second = map_notes(spark.createDataFrame([(0, "usmle-2", "a")], NOTES), bank)
-    write_report(first, path)
-    write_report(second, path)
+    first = spark.createDataFrame([(0, "usmle-1", "a")], NOTES)
+    second = spark.createDataFrame([(0, "usmle-2", "a")], NOTES)
     read = lambda: [tuple(r) for r in read_lookup_table(spark, f"{path}/mapping").collect()]
+    assert run_mapping(first, bank, path) is True
+    assert run_mapping(second, bank, path) is False
     assert read() == [("usmle-1", 5)]
-    write_report(second, path, force=True)
+    assert run_mapping(second, bank, path, force=True) is True
     assert read() == [("usmle-2", 5)]
-    assert [tuple(r) for r in lookup_from_mapping(second.mapping).collect()] == [("usmle-2", 5)]
+    for part in REPORT_PARTS:
+        spark.read.parquet(f"{path}/{part}").count()
