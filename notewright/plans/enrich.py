@@ -14,9 +14,11 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from notewright.functions.fields import RecordSchema
+from notewright.functions.hashing import shard_of
 from notewright.functions.replies import conform, is_record
 from notewright.operators.filters import shard_only, valid_notes, with_shard
 from notewright.operators.generate import BATCH_SIZE, chat_prompt, token_counter, with_replies
+from notewright.operators.joins import salted_join
 from notewright.operators.limits import first_rows
 from notewright.operators.lookup import with_source_url
 from notewright.operators.metrics import worker_metrics
@@ -35,6 +37,7 @@ class EnrichOptions:
     shard: int | None = None
     max_notes: int = 0  # of each shard; 0 means all
     batch_size: int = BATCH_SIZE
+    generator_tasks: int = 0  # tasks to spread generation over; 0 leaves the partitions as they are
 
 
 def select_notes(
@@ -87,6 +90,9 @@ def enrich(
 ) -> DataFrame:
     """Records for all selected notes. ``observation`` collects the counters of the run."""
     chosen = with_source_url(select_notes(notes, options, done), lookup, notes.select("id"))
+    if options.generator_tasks:
+        # By size alone, few large partitions would be left, and generation takes far longer than this.
+        chosen = chosen.repartition(options.generator_tasks, "ord")
     called = with_replies(
         with_prompt(chosen, schema, make_layout), make_generator, batch_size=options.batch_size
     )
@@ -122,7 +128,9 @@ def run_enrichment(
     """Write the records under ``out`` and return the one-row metrics of the run.
 
     The counters of the written rows come from the writing stage itself, where each task counts once
-    however often it was tried. What was seen and skipped is counted on ids alone.
+    however often it was tried. A lost executor costs only its unfinished tasks: what a task generated
+    and wrote stays. What was seen and skipped is counted in a pass of its own, as a stage before a
+    shuffle may run twice and would then count twice.
     """
     write = write or (lambda df, path: write_jsonl(df, path, shard_size))
     counted = Observation()
@@ -147,20 +155,18 @@ def _seen_and_skipped(
     notes: DataFrame, options: EnrichOptions, done: DataFrame | None
 ) -> tuple[int, int]:
     """Valid notes, and those of this run that were done before; up to where a limit stops the run."""
-    from dataclasses import replace
-
-    valid = valid_notes(notes)
+    valid = valid_notes(notes).select("ord", "id")
     if options.max_notes:
         chosen = select_notes(notes, options, done)
-        stop = chosen.agg(F.max("ord").alias("stop"), F.count("*").alias("n")).first()
-        if stop["n"] >= options.max_notes * max(1, _shards_in_run(options)):
-            valid = valid.where(F.col("ord") <= stop["stop"])
-    seen = valid.count()
+        stop = chosen.agg(F.max("ord").alias("ord"), F.count("*").alias("n")).first()
+        shards = options.num_shards if options.shard is None else 1
+        if stop["n"] >= options.max_notes * shards:
+            valid = valid.where(F.col("ord") <= stop["ord"])
     if done is None:
-        return seen, 0
-    unlimited = replace(options, max_notes=0)
-    return seen, select_notes(valid, unlimited).count() - select_notes(valid, unlimited, done).count()
-
-
-def _shards_in_run(options: EnrichOptions) -> int:
-    return options.num_shards if options.shard is None else 1
+        return valid.count(), 0
+    known = done.select("id").distinct().withColumn("_done", F.lit(True))
+    marked = salted_join(valid, known, "id", "left", spread_by="ord", keys=notes.select("id"))
+    skipped = F.col("_done")
+    if options.num_shards > 1 and options.shard is not None:
+        skipped = skipped & (shard_of(F.col("id"), options.num_shards) == options.shard)
+    return tuple(marked.agg(F.count("*"), F.count_if(skipped)).first())

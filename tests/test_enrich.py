@@ -87,13 +87,25 @@ def test_run_and_resume(spark, tmp_path):
     assert (first["notes_seen"], first["notes_written"], first["notes_skipped"], first["notes_failed"]) == (25, 25, 0, 2)
     assert first["output_tokens"] == 23 * 3 + 2 and first["input_tokens"] > 0
     done = read_jsonl(spark, out, schema).select("id")
-    second = run_enrichment(notes(spark, 40), example_schema(), answers, out, "r0", done=done).first()
+    second = run_enrichment(
+        notes(spark, 40), example_schema(), answers, out, "r0", EnrichOptions(generator_tasks=3), done=done
+    ).first()
     assert (second["notes_seen"], second["notes_written"], second["notes_skipped"], second["notes_failed"]) == (40, 15, 25, 2)
     everything = read_jsonl(spark, out, schema)
     assert everything.count() == 40 and everything.select("id").distinct().count() == 40
     assert everything.where("not extraction_ok").count() == 4
 
 
+def test_metrics_of_one_shard(spark, tmp_path):
+    base, out = notes(spark, 60), str(tmp_path / "out")
+    mine = {r["id"] for r in select_notes(base, EnrichOptions(num_shards=3, shard=1)).collect()}
+    done = spark.createDataFrame([(i,) for i in sorted(mine)[:4] * 2 + ["pmc-x"]], "id string")
+    row = run_enrichment(
+        base, example_schema(), answers, out, "r1", EnrichOptions(num_shards=3, shard=1), done
+    ).first()
+    assert (row["notes_seen"], row["notes_skipped"], row["notes_written"]) == (60, 4, len(mine) - 4)
+
+
 def test_each_note_is_generated_once(spark, tmp_path):
     calls = tmp_path / "calls"
     calls.mkdir()
