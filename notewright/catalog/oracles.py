@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from notewright.catalog.fixtures import view_sql
+from notewright.functions.provenance import ARTICLE_URL, BANK_URL, TRACK_URL
 
 
 def _with(views: str, body: str) -> str:
@@ -30,16 +31,17 @@ lookup AS (
   FROM lookup_entries WHERE TRY_CAST(raw_value AS BIGINT) IS NOT NULL GROUP BY 1
 )"""
 
-# The addresses.
 SOURCE = r"""
 CASE
   WHEN regexp_full_match(k, 'usmle-\d+') THEN
-    'https://huggingface.co/datasets/mkieffer/MedQA-USMLE/viewer/default/us_qbank?row=' || bank_row
+    '@BANK' || bank_row
   WHEN regexp_full_match(k, 'pmc-\d+-\d+') THEN
-    'https://pmc.ncbi.nlm.nih.gov/articles/PMC' || regexp_extract(k, 'pmc-(\d+)-', 1) || '/'
+    '@ARTICLE' || regexp_extract(k, 'pmc-(\d+)-', 1) || '/'
   WHEN regexp_full_match(k, 'trec-(cds|ct)-\d{4}-\d+') THEN
-    'https://www.trec-cds.org/' || regexp_extract(k, '-(\d{4})-', 1) || '.html'
+    '@TRACK' || regexp_extract(k, '-(\d{4})-', 1) || '.html'
 END"""
+for _name, _address in (("@BANK", BANK_URL), ("@ARTICLE", ARTICLE_URL), ("@TRACK", TRACK_URL)):
+    SOURCE = SOURCE.replace(_name, _address)
 
 # Rows of the id family with a running number per text, and which of them remain.
 FAMILY = r"""

@@ -5,45 +5,44 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK = 1 << 16
+from notewright.session import scratch_path, settle
 
+BITS = 16
 
-def first_rows(df: DataFrame, n: int, per_shard: bool = False, block: int = BLOCK) -> DataFrame:
+
+def first_rows(df: DataFrame, n: int, per_shard: bool = False) -> DataFrame:
     """The first ``n`` rows in corpus order, of the whole table or of each ``shard``. 0 means all.
 
-    Only ``(shard, ord)`` is looked at to find where to stop: rows are counted per block of ``block``
-    consecutive ``ord`` values, a running total finds the block in which the n-th row lies, and only
-    the rows of that block (at most ``block`` of them per shard, as ``ord`` is unique) are ranked. The
-    notes themselves are then filtered in place, without a sort or a shuffle.
+    The place of the n-th row is found from ``(shard, ord)`` alone, which are stored once: rows are
+    counted by the upper 16 bits of ``ord``, a running total tells in which block the n-th row lies, and
+    the next 16 bits are looked at within that block, until ``ord`` is known. So no task ever sees more
+    than 65,536 counts of a shard, however ``ord`` is spread. The rows themselves are then filtered in
+    place, without a sort or a shuffle.
     """
     if n <= 0:
         return df
     shard = F.col("shard") if per_shard else F.lit(0).alias("shard")
-    slim = df.select(shard, "ord").withColumn(
-        "_block", F.floor(F.col("ord") / F.lit(block)).cast("bigint")
-    )
+    slim = settle(df.select(shard, "ord"), scratch_path(df.sparkSession, "limit"))
     upto = Window.partitionBy("shard").orderBy("_block")
-    counts = (
-        slim.groupBy("shard", "_block")
-        .agg(F.count("*").alias("_n"))
-        .withColumn("_before", F.sum("_n").over(upto) - F.col("_n"))
-    )
-    # One row per shard at most, here and in ``cut``: that is what bounds the two broadcasts.
-    last_block = counts.where(
-        (F.col("_before") < n) & (F.col("_before") + F.col("_n") >= n)
-    ).select("shard", "_block", (F.lit(n) - F.col("_before")).alias("_need"))
-    in_block = Window.partitionBy("shard").orderBy("ord")
-    cut = (
-        slim.join(F.broadcast(last_block), ["shard", "_block"])
-        .withColumn("_rank", F.row_number().over(in_block))
-        .where(F.col("_rank") == F.col("_need"))
-        .select("shard", F.col("ord").alias("_cut"))
-    )
+    rows = slim.withColumn("_need", F.lit(n))
+    for shift in range(64 - BITS, -1, -BITS):
+        counts = (
+            rows.groupBy("shard", "_need", F.shiftright("ord", shift).alias("_block"))
+            .agg(F.count("*").alias("_n"))
+            .withColumn("_before", F.sum("_n").over(upto) - F.col("_n"))
+        )
+        # One row per shard at most: that is what bounds the broadcasts.
+        cut = counts.where(
+            (F.col("_before") < F.col("_need")) & (F.col("_before") + F.col("_n") >= F.col("_need"))
+        ).select("shard", "_block", (F.col("_need") - F.col("_before")).alias("_need"))
+        inside = slim.withColumn("_block", F.shiftright("ord", shift))
+        rows = inside.join(F.broadcast(cut), ["shard", "_block"]).drop("_block")
+    cut = cut.select("shard", F.col("_block").alias("_cut"))
     if not per_shard:
         bound = cut.agg(F.max("_cut")).scalar()
         return df.where(F.col("ord") <= F.coalesce(bound, F.lit(2**63 - 1)))
     marked = df.join(F.broadcast(cut), "shard", "left")
-    return marked.where(F.col("_cut").isNull() | (F.col("ord") <= F.col("_cut"))).drop("_cut")
+    return marked.where(F.col("_cut").isNull() | (F.col("ord") <= F.col("_cut"))).select(*df.columns)
 
 
 def seeded_pick(notes: DataFrame, seed: int) -> DataFrame:

@@ -18,7 +18,7 @@ from notewright.operators.duplicates import (
 from notewright.operators.filters import family_notes
 from notewright.operators.joins import salted_join
 from notewright.operators.matching import bank_counts, constant_shift, shift_histogram, usable_questions
-from notewright.session import path_exists, scratch_path
+from notewright.session import path_exists, scratch_path, settle
 
 MISSING_SAMPLES = 5
 
@@ -119,10 +119,10 @@ def map_notes(
     """
     work_dir = work_dir or scratch_path(notes.sparkSession, "mapping")
     family_rows = family_notes(notes.select("ord", F.col("id").cast("string"), "note"), family)
-    rows = _settle(keyed(family_rows), work_dir, "rows")
-    questions = _settle(usable_questions(bank), work_dir, "questions")
-    marked = _settle(mark_first(rows, shared_texts(rows, questions)), work_dir, "marked")
-    kept = _settle(keep_first(marked, keys=rows.select("id")), work_dir, "kept")
+    rows = settle(keyed(family_rows), f"{work_dir}/rows")
+    questions = settle(usable_questions(bank), f"{work_dir}/questions")
+    marked = settle(mark_first(rows, shared_texts(rows, questions)), f"{work_dir}/marked")
+    kept = settle(keep_first(marked, keys=rows.select("id")), f"{work_dir}/kept")
     kept = kept.withColumn("n_candidates", F.coalesce("n_candidates", F.lit(0)))
     return MappingReport(
         notes, bank, questions, marked, kept, family, piece, missing_samples
@@ -185,9 +185,3 @@ def run_mapping(
     for part in REPORT_PARTS:
         getattr(report, part).write.mode("overwrite").parquet(f"{path}/{part}")
     return True
-
-
-def _settle(df: DataFrame, work_dir: str, name: str) -> DataFrame:
-    path = f"{work_dir}/{name}"
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that change results. They are runtime settings, so they can be put on any session.
 RESULT_SETTINGS = {
@@ -67,6 +67,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/notewright/{label}-{uuid.uuid4().hex}"
 
 
+def settle(df: DataFrame, path: str) -> DataFrame:
+    """Write a table to shared storage and go on from there: it is computed once, and what comes after
+    does not depend on the executors that computed it."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether anything is at ``path``, on whatever file system that names."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
