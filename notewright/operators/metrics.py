@@ -1,7 +1,8 @@
 """Run metrics: one row per worker, and the merged row of all workers.
 
 A log has one row per batch: ``run_tag, start_ts, end_ts, seen, written, skipped, failed, input_tokens,
-output_tokens, gen_ms``. All of it adds up, so the aggregates are partial sums whatever the batch size.
+output_tokens, gen_ms``. A row that stands for several batches says how many in a column ``batches``. All
+of it adds up, so the aggregates are partial sums whatever the batch size.
 """
 
 from __future__ import annotations
@@ -60,7 +61,7 @@ def bench_metrics(log: DataFrame) -> DataFrame:
         F.max("end_ts").alias("end_time"),
         (_total("gen_ms") / F.lit(1000.0)).alias("gen_time_s"),
         _total("written").alias("notes"),
-        F.count("*").alias("batches"),
+        (_total("batches") if "batches" in log.columns else F.count("*")).alias("batches"),
         _total("input_tokens").alias("input_tokens"),
         _total("output_tokens").alias("output_tokens"),
     )

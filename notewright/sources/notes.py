@@ -44,6 +44,25 @@ def read_notes(
     )
 
 
+def stream_notes(
+    spark: SparkSession, path: str, schema: str, id_col: str = "_id", note_col: str = "description",
+    files_per_batch: int = 1000,
+) -> DataFrame:
+    """``(ord, id, note)`` of the Parquet files that arrive under ``path``, for the incremental run.
+
+    A stream has no order of rows, so ``ord`` is only a number that tells rows apart. Each micro-batch
+    takes up ``files_per_batch`` files and is committed by itself.
+    """
+    rows = (
+        spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+    )
+    return rows.select(
+        F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("ord"),
+        _plain(rows, id_col).cast("string").alias("id"),
+        _string_or_null(rows, note_col, F.lit("")).alias("note"),
+    )
+
+
 def read_bank(
     spark: SparkSession, path: str, fmt: str = "parquet", index_col: str = "index",
     question_col: str = "question", order_by: str | None = None,

@@ -35,6 +35,17 @@ def write_jsonl(
     writer.option("ignoreNullFields", "false").json(path)
 
 
+def write_table(
+    df: DataFrame, path: str, shard_size: int = SHARD_SIZE, mode: str = "append",
+    partition_by: str | None = None,
+) -> None:
+    """As :func:`write_jsonl`, to Parquet. A run that resumes then reads the ids without the rest."""
+    writer = df.write.mode(mode).option("maxRecordsPerFile", shard_size)
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
+    writer.parquet(path)
+
+
 def write_record_lines(
     records: DataFrame, path: str, shard_size: int = SHARD_SIZE, mode: str = "append"
 ) -> None:

@@ -11,8 +11,12 @@ from notewright.operators.generate import with_replies
 from notewright.operators.replies import with_parsed
 from notewright.operators.prompts import prompt_variants
 from notewright.operators.generate import token_counter
+from notewright.operators.filters import valid_notes
+from notewright.operators.metrics import bench_replica_metrics
+from notewright.plans.bench import run_bench
 from notewright.plans.enrich import EnrichOptions, enrich, records, run_enrichment, select_notes
-from notewright.sources.shards import read_jsonl
+from notewright.sources.notes import stream_notes
+from notewright.sources.shards import read_jsonl, write_table
 from notewright.streaming.incremental import done_ids, start_incremental
 
 # Python workers cannot import a test file, so its functions travel whole.
@@ -96,6 +100,15 @@ def test_run_and_resume(spark, tmp_path):
     assert everything.where("not extraction_ok").count() == 4
 
 
+def test_resume_from_a_table(spark, tmp_path):
+    out = str(tmp_path / "out")
+    for n, written in ((10, 10), (25, 15)):
+        done = spark.read.parquet(out).select("id") if n > 10 else None
+        row = run_enrichment(notes(spark, n), example_schema(), answers, out, done=done, write=write_table).first()
+        assert row["notes_written"] == written
+    assert spark.read.parquet(out).select(F.to_json("age")).count() == 25
+
+
 def test_metrics_of_one_shard(spark, tmp_path):
     base, out = notes(spark, 60), str(tmp_path / "out")
     mine = {r["id"] for r in select_notes(base, EnrichOptions(num_shards=3, shard=1)).collect()}
@@ -153,6 +166,36 @@ def test_incremental_runs(spark, tmp_path):
     assert run("c2") == sorted([f"n{i}" for i in range(8)] + ["n8", "n8"])
 
 
+def test_incremental_enrichment(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    schema = "_id string, description string"
+    for start in (0, 10):
+        notes(spark, 20).where(f"ord >= {start} and ord < {start + 10}").selectExpr(
+            "id AS _id", "note AS description"
+        ).coalesce(1).write.mode("append").parquet(source)
+    for checkpoint in ("c1", "c2"):
+        stream = valid_notes(stream_notes(spark, source, schema, files_per_batch=1))
+        make = lambda df: enrich(df, example_schema(), answers, EnrichOptions(typed=True))
+        start_incremental(stream, make, out, str(tmp_path / checkpoint)).awaitTermination()
+        written = spark.read.parquet(out)
+        assert written.count() == 20 and written.where("not extraction_ok").count() == 2
+    assert written.select("query", "batch").distinct().count() >= 2
+    assert {r["age"] for r in written.where("extraction_ok").collect()} == {n for n in range(20) if n % 10 != 9}
+
+
+def test_bench_run(spark):
+    base = notes(spark, 90, [(200, None, "note 7"), (201, "x", None)])
+    row = run_bench(base.coalesce(1), example_schema(), answers, "r0", EnrichOptions(max_notes=70)).first()
+    assert (row["notes"], row["batches"], row["run_tag"]) == (70, 3, "r0")
+    assert row["output_tokens"] == 63 * 3 + 7 and row["notes_per_s"] > 0
+    shards = [
+        run_bench(base, example_schema(), answers, f"r{s}", EnrichOptions(num_shards=2, shard=s)) for s in range(2)
+    ]
+    merged = bench_replica_metrics(shards[0].unionByName(shards[1])).first()
+    assert merged["replicas"] == 2 and merged["notes"] == 90
+    assert run_bench(base, example_schema(), answers).first()["notes"] == 91
+
+
 def test_a_batch_that_is_tried_again_replaces_itself(spark, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     spark.createDataFrame([(i, f"n{i}", "x") for i in range(6)], NOTES).write.parquet(source)
