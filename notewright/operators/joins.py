@@ -8,19 +8,34 @@ from pyspark.sql import functions as F
 from notewright.session import shuffle_partitions
 
 
-def heavy_keys(df: DataFrame, key: str, parts: int) -> list[tuple]:
-    """Keys with more rows than an even share of ``parts``, and into how many pieces to cut each.
+# A key below a thousandth of all rows is left to Spark's own skew handling.
+MOST_HEAVY_KEYS = 1000
+# The sketches of the tasks are merged in this many groups first, and not all in one place.
+SKETCH_GROUPS = 512
+
+
+def heavy_keys(df: DataFrame, key: str, parts: int) -> list[tuple[int, int]]:
+    """Hashes of the keys with more rows than an even share of ``parts``, and into how many pieces to cut each.
 
     A piece is at most a quarter of an even share, so that two pieces that meet in one task do no harm.
     There are fewer than ``parts`` such keys, whatever the data, and their pieces together are at most
-    ``5 * parts``; so this list is bounded by a setting of the session and not by the data. Finding it
-    takes one pass over the key column, counted before the shuffle.
+    ``5 * parts``; so this list is bounded by a setting of the session and not by the data.
+
+    The counts come from a frequent-items sketch of fixed size per task; no key is shuffled. A sketch may
+    miss a key near the limit. That costs balance and never changes a result.
     """
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n")).scalar()
-    heavy = counts.where(F.col("n") * F.lit(parts) > total)
-    pieces = F.ceil(F.col("n") * F.lit(4 * parts) / total).cast("int")
-    return [tuple(row) for row in heavy.select(key, pieces).collect()]
+    kept = min(parts, MOST_HEAVY_KEYS)
+    tracked = max(4096, 16 * kept)
+    hashed = df.where(F.col(key).isNotNull()).select(F.xxhash64(key).alias("h"))
+    groups = hashed.groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("g")).agg(
+        F.expr(f"approx_top_k(h, {kept}, {tracked})").alias("top"), F.count("*").alias("n")
+    )
+    # The number of all rows travels along as the count of no key, and is the largest of them.
+    whole = F.array(F.struct(F.lit(None).cast("bigint").alias("item"), F.col("n").alias("count")))
+    counts = groups.select(F.inline(F.concat("top", whole))).groupBy("item").agg(F.sum("count"))
+    largest = dict(counts.orderBy(F.desc("sum(count)")).limit(kept + 1).collect())
+    total = largest.pop(None, 0)
+    return [(h, -(-n * 4 * parts // total)) for h, n in largest.items() if n * parts > total]
 
 
 def salted_join(
@@ -38,24 +53,27 @@ def salted_join(
     """
     if how not in ("left", "inner", "left_anti", "left_semi"):
         raise ValueError(f"join type not supported: {how}")
+    if left.schema[key].dataType != right.schema[key].dataType:
+        raise TypeError(f"{key} is not of one type on both sides")
     spark = left.sparkSession
     parts = parts or shuffle_partitions(spark)
     heavy = heavy_keys((left if keys is None else keys).select(key), key, parts)
     pieces = F.when(F.col(key).isNull(), F.lit(parts)).otherwise(F.lit(1))
     spread, repeated = left, right.withColumn("_piece", F.lit(0))
     if heavy:
-        field = left.schema[key]
-        table = spark.createDataFrame(heavy, f"`{key}` {field.dataType.simpleString()}, _pieces int")
-        known = F.broadcast(table)  # fewer than ``parts`` rows
-        pieces = F.coalesce(F.col("_pieces"), pieces)
-        spread = left.join(known, key, "left")
+        known = F.broadcast(spark.createDataFrame(heavy, "_hash bigint, _pieces int"))
+        hashed = F.xxhash64(key).alias("_hash")
+        pieces = F.when(F.col(key).isNotNull(), F.col("_pieces")).otherwise(F.lit(parts))
+        pieces = F.coalesce(pieces, F.lit(1))
+        spread = left.select("*", hashed).join(known, "_hash", "left")
         last = F.coalesce(F.col("_pieces"), F.lit(1)) - F.lit(1)
-        repeated = right.join(known, key, "left").withColumn(
+        repeated = right.select("*", hashed).join(known, "_hash", "left").withColumn(
             "_piece", F.explode(F.sequence(F.lit(0), last))
         )
     piece = F.pmod(F.xxhash64(spread_by), pieces.cast("bigint")).cast("int")
-    spread = spread.withColumn("_piece", piece).drop("_pieces")
+    spread = spread.withColumn("_piece", piece).drop("_pieces", "_hash")
     columns = left.columns
     if how in ("left", "inner"):
         columns = columns + [c for c in right.columns if c != key]
-    return spread.join(repeated.drop("_pieces"), [key, "_piece"], how).select(*columns)
+    repeated = repeated.drop("_pieces", "_hash")
+    return spread.join(repeated, [key, "_piece"], how).select(*columns)

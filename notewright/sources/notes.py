@@ -10,8 +10,13 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from notewright.functions.fields import json_path
+
 ROWS_PER_FILE = 1 << 40
 
+# The ranks of the files are broadcast, one small row each, so their number is limited.
+MOST_RANKED_FILES = 100_000
+
 # Spark writes the scheme of a local path with one slash or with three.
 LOCAL_SCHEME = "^file:/+"
 
@@ -23,8 +28,9 @@ def read_notes(
     """``(ord, id, note)``, with ``other_id`` too where the corpus has a column ``id`` besides ``id_col``.
 
     A note that is missing altogether is an empty note; an explicit null, or a value that is no string,
-    is null. ``order_by`` names a unique number to go by; else Parquet rows go by file name and position,
-    and JSON rows by their place in the scan.
+    is null. ``order_by`` names a unique number to go by; else Parquet rows go by file name and position.
+    JSON rows, and Parquet rows in very many files, go by their place in the scan, which holds as long as
+    the files and the split settings stay as they are.
     """
     if fmt == "json":
         rows = _json_rows(spark, path)
@@ -32,7 +38,7 @@ def read_notes(
         ident, other = _json_scalar(id_col), _json_scalar("id")
         extra = [other.alias("other_id")] if id_col != "id" else []
         ordinal = _json_ordinal(order_by)
-        missing = F.try_variant_get("v", f"$.{note_col}", "variant").isNull()
+        missing = F.try_variant_get("v", json_path(note_col), "variant").isNull()
         note = F.when(missing, F.lit("")).otherwise(note)
         return rows.select(ordinal.alias("ord"), ident.alias("id"), note.alias("note"), *extra)
     rows = spark.read.format(fmt).load(path)
@@ -73,7 +79,7 @@ def read_bank(
         return rows.select(
             _json_ordinal(order_by).alias("ord"),
             # A number or text that holds a whole number; 3.7 counts as 3 but "3.7" does not.
-            F.try_variant_get("v", f"$.{index_col}", "bigint").cast("string").alias("idx_raw"),
+            F.try_variant_get("v", json_path(index_col), "bigint").cast("string").alias("idx_raw"),
             _json_text(question_col).alias("question"),
         )
     rows = spark.read.format(fmt).load(path)
@@ -89,10 +95,9 @@ def read_bank(
 def _with_ordinal(rows: DataFrame, fmt: str, order_by: str | None) -> DataFrame:
     if order_by:
         return rows.withColumn("_ord", F.col(order_by).cast("bigint"))
-    if fmt != "parquet":
+    names = sorted(rows.inputFiles()) if fmt == "parquet" else []
+    if not 1 <= len(names) <= MOST_RANKED_FILES:
         return rows.withColumn("_ord", F.monotonically_increasing_id())
-    # One row per file of the corpus: Spark's own listing, which the driver holds in any case.
-    names = sorted(rows.inputFiles())
     if len(names) == 1:
         return rows.withColumn("_ord", F.col("_metadata.row_index"))
     ranks = rows.sparkSession.createDataFrame(
@@ -132,13 +137,13 @@ def _json_rows(spark: SparkSession, path: str) -> DataFrame:
 def _json_ordinal(order_by: str | None) -> Column:
     if order_by is None:
         return F.monotonically_increasing_id()
-    return F.try_variant_get("v", f"$.{order_by}", "bigint")
+    return F.try_variant_get("v", json_path(order_by), "bigint")
 
 
 def _json_scalar(name: str) -> Column:
-    return F.try_variant_get("v", f"$.{name}", "string")
+    return F.try_variant_get("v", json_path(name), "string")
 
 
 def _json_text(name: str) -> Column:
-    value = F.try_variant_get("v", f"$.{name}", "variant")
+    value = F.try_variant_get("v", json_path(name), "variant")
     return F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string"))
