@@ -194,6 +194,14 @@ ORACLES: dict[str, str] = {
             FROM qbank""",
     ),
     "lookup_table": _with("lookup_entries", f"+{LOOKUP} SELECT key, bank_row FROM lookup"),
+    "lookup_report": _with("lookup_entries", f"+{LOOKUP} SELECT key, bank_row FROM lookup"),
+    "record_lines": _with(
+        "answered_notes",
+        f"""SELECT id, 'id,patient_note,source,' || CASE WHEN ord % 10 IN (4, 5, 6, 9)
+                     THEN 'extraction_ok,model_output_raw'
+                     ELSE 'age,sex,chief_complaint,conditions,specialties,extraction_ok' END AS keys
+            FROM answered_notes WHERE {VALID}""",
+    ),
     "jsonl_roundtrip": _with("notes", "SELECT * FROM notes"),
     "parquet_roundtrip": _with("notes", "SELECT * FROM notes"),
     "processed_ids_distinct": _with(

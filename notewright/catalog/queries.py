@@ -22,6 +22,7 @@ from notewright.plans import enrich, mapping
 from notewright.session import configure, scratch_path
 from notewright.sources import notes as note_sources
 from notewright.sources import run_log, shards
+from notewright.sources.lookup import read_lookup_report
 from notewright.streaming.incremental import start_incremental
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,6 +69,28 @@ def lookup_table_(spark, sf_dir):
     return _lookup(spark, sf_dir).withColumnRenamed("row", "bank_row")
 
 
+@query
+def lookup_report(spark, sf_dir):
+    path = scratch_path(spark, "report")
+    entries = view(spark, sf_dir, "lookup_entries").select(
+        "ord", F.lit("all").alias("report"), F.format_string('"%s": "%s"', "raw_key", "raw_value").alias("entry")
+    )
+    pieces = duplicates.in_pieces(entries, "report", "entry", "entries")
+    blob = F.concat(F.lit('{"mapping": {'), F.array_join("entries", ", "), F.lit("}}"))
+    pieces.select(blob).write.option("maxRecordsPerFile", 1).text(path)
+    return read_lookup_report(spark, path).withColumnRenamed("row", "bank_row")
+
+
+@query
+def record_lines(spark, sf_dir):
+    path = scratch_path(spark, "lines")
+    shards.write_record_lines(_records(spark, sf_dir).drop("ord"), path)
+    return spark.read.text(path).select(
+        F.get_json_object("value", "$.id").alias("id"),
+        F.array_join(F.json_object_keys("value"), ",").alias("keys"),
+    )
+
+
 @query
 def jsonl_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "jsonl")

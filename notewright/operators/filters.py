@@ -14,15 +14,17 @@ def valid_notes(notes: DataFrame) -> DataFrame:
     return notes.where(F.col("id").isNotNull() & (F.col("id") != "") & F.col("note").isNotNull())
 
 
-def valid_bench_notes(notes: DataFrame, num_shards: int = 1) -> DataFrame:
-    """Notes to measure with: only the note must be there; an id is needed only to pick a shard.
-
-    The id is ``id`` or, where that is empty, ``other_id`` if the corpus has such a column.
-    """
+def any_id(notes: DataFrame) -> Column:
+    """The id, or where it is empty the ``other_id`` of a corpus that has one; null where both are empty."""
     own = F.when(F.col("id") != "", F.col("id"))
     if "other_id" in notes.columns:
         own = F.coalesce(own, F.when(F.col("other_id") != "", F.col("other_id")))
-    kept = notes.where(F.col("note").isNotNull()).withColumn("id", own).drop("other_id")
+    return own
+
+
+def valid_bench_notes(notes: DataFrame, num_shards: int = 1) -> DataFrame:
+    """Notes to measure with: only the note must be there; an id is needed only to pick a shard."""
+    kept = notes.where(F.col("note").isNotNull()).withColumn("id", any_id(notes)).drop("other_id")
     return kept.where(F.col("id").isNotNull()) if num_shards > 1 else kept
 
 
@@ -61,7 +63,7 @@ def family_notes(notes: DataFrame, family: str) -> DataFrame:
 
 def note_by_id(notes: DataFrame, wanted: str) -> DataFrame:
     """The first row with this id, in corpus order."""
-    return notes.where(F.col("id") == wanted).orderBy("ord").limit(1)
+    return notes.where(any_id(notes) == wanted).orderBy("ord").limit(1)
 
 
 def nonblank_notes(notes: DataFrame) -> DataFrame:

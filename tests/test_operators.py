@@ -51,6 +51,8 @@ def test_id_family_is_strict(spark):
 def test_note_by_id_takes_the_first(spark):
     notes = spark.createDataFrame([(5, "a", "late"), (2, "a", "early"), (1, "b", "x")], NOTES)
     assert rows(filters.note_by_id(notes, "a")) == [(2, "a", "early")]
+    other = notes.withColumn("other_id", F.lit("z")).withColumn("id", F.lit(""))
+    assert filters.note_by_id(other, "z").first()["ord"] == 1
     with pytest.raises(LookupError):
         filters.require_row(filters.note_by_id(notes, "z"), "id z")
 

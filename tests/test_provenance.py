@@ -52,6 +52,10 @@ def test_lookup_report(spark, tmp_path):
     path.write_text(json.dumps(blob, indent=2))
     got = {r["key"]: r["row"] for r in read_lookup_report(spark, str(path)).collect()}
     assert got == {"usmle-1": 5, "usmle-2": 7, "usmle-4": 3, "usmle-7": 1, "usmle-8": 1}
+    (tmp_path / "mapping2.json").write_text('{"mapping": {"usmle-2": 8, "usmle-2": 9, "USMLE-9": 1}}')
+    got.update({"usmle-2": 9, "usmle-9": 1})
+    both = read_lookup_report(spark, f"{tmp_path}/mapping*.json").collect()
+    assert {r["key"]: r["row"] for r in both} == got
     with pytest.raises(ValueError, match="too large"):
         read_lookup_report(spark, str(path), max_bytes=10)
 
