@@ -109,6 +109,16 @@ def test_resume_from_a_table(spark, tmp_path):
     assert spark.read.parquet(out).select(F.to_json("age")).count() == 25
 
 
+def test_runs_with_nothing_to_do(spark, tmp_path):
+    base = notes(spark, 5)
+    out = str(tmp_path / "out")
+    row = run_enrichment(base, example_schema(), answers, out, done=base.select("id")).first()
+    assert (row["notes_seen"], row["notes_skipped"], row["notes_written"], row["input_tokens"]) == (5, 5, 0, 0)
+    row = run_enrichment(base.limit(0), example_schema(), answers, out, done=base.select("id")).first()
+    assert (row["notes_seen"], row["notes_per_s"]) == (0, 0.0)
+    assert run_bench(base.limit(0), example_schema(), answers).first()["notes"] == 0
+
+
 def test_metrics_of_one_shard(spark, tmp_path):
     base, out = notes(spark, 60), str(tmp_path / "out")
     mine = {r["id"] for r in select_notes(base, EnrichOptions(num_shards=3, shard=1)).collect()}
