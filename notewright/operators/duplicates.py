@@ -49,7 +49,7 @@ def keep_first(marked: DataFrame, keys: DataFrame | None = None) -> DataFrame:
 
     The test is by id: an id that is dropped once is gone entirely.
     """
-    dropped = later_rows(marked).select("id").distinct()
+    dropped = later_rows(marked)
     rest = marked.where(F.col("key").isNull() | F.col("first_ord").isNotNull())
     return salted_join(rest, dropped, "id", "left_anti", spread_by="ord", keys=keys)
 

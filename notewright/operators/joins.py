@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from notewright.session import shuffle_partitions
 
-
 # A key below a thousandth of all rows is left to Spark's own skew handling.
 MOST_HEAVY_KEYS = 1000
 # The sketches of the tasks are merged in this many groups first, and not all in one place.
@@ -46,7 +45,9 @@ def salted_join(
 
     Rows of a heavy key get a piece number from ``spread_by``, and the matching rows of ``right`` are
     repeated once per piece; all other rows are joined as usual. Rows without a key match nothing and
-    are spread too. ``right`` should hold few rows per key. The result is that of the plain join.
+    are spread too. For a left or inner join ``right`` should hold few rows per key; for the other two
+    only its distinct keys count, and repeats are taken out before they are shuffled. The result is that
+    of the plain join.
 
     ``keys`` are the keys to look for heavy ones in, by default those of ``left``. A column that holds
     them all, and more, serves as well; give it where ``left`` is costly to compute.
@@ -55,9 +56,16 @@ def salted_join(
         raise ValueError(f"join type not supported: {how}")
     if left.schema[key].dataType != right.schema[key].dataType:
         raise TypeError(f"{key} is not of one type on both sides")
+    if how in ("left_anti", "left_semi"):
+        right = right.select(key).distinct()
     spark = left.sparkSession
     parts = parts or shuffle_partitions(spark)
     heavy = heavy_keys((left if keys is None else keys).select(key), key, parts)
+    columns = left.columns
+    if how in ("left", "inner"):
+        columns = columns + [c for c in right.columns if c != key]
+    if not heavy and how in ("inner", "left_semi"):
+        return left.join(right, key, how).select(*columns)
     pieces = F.when(F.col(key).isNull(), F.lit(parts)).otherwise(F.lit(1))
     spread, repeated = left, right.withColumn("_piece", F.lit(0))
     if heavy:
@@ -72,8 +80,5 @@ def salted_join(
         )
     piece = F.pmod(F.xxhash64(spread_by), pieces.cast("bigint")).cast("int")
     spread = spread.withColumn("_piece", piece).drop("_pieces", "_hash")
-    columns = left.columns
-    if how in ("left", "inner"):
-        columns = columns + [c for c in right.columns if c != key]
     repeated = repeated.drop("_pieces", "_hash")
     return spread.join(repeated, [key, "_piece"], how).select(*columns)

@@ -22,4 +22,4 @@ def without_done(notes: DataFrame, done: DataFrame, ids: DataFrame | None = None
     it by itself where its size allows. An id on very many rows is spread over the tasks; such ids are
     looked for in ``ids``, which may be the plain corpus where ``notes`` has been filtered by its text.
     """
-    return salted_join(notes, done.select("id"), "id", "left_anti", spread_by="ord", keys=ids)
+    return salted_join(notes, done, "id", "left_anti", spread_by="ord", keys=ids)

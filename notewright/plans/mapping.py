@@ -17,7 +17,7 @@ from notewright.operators.duplicates import (
 )
 from notewright.operators.filters import family_notes
 from notewright.operators.joins import salted_join
-from notewright.operators.matching import bank_counts, constant_shift, shift_histogram, usable_questions
+from notewright.operators.matching import constant_shift, shift_histogram, usable_questions
 from notewright.session import path_exists, scratch_path, settle
 
 MISSING_SAMPLES = 5
@@ -46,7 +46,9 @@ class MappingReport:
     @property
     def summary(self) -> DataFrame:
         """One row of counts, and the shift where it is constant."""
-        return summary(self.notes, self.bank, self.kept, self.shift_histogram)
+        return summary(
+            self.notes, self.bank, self.questions, self.kept, self.shift_histogram
+        )
 
     @property
     def dropped_ids(self) -> DataFrame:
@@ -153,11 +155,17 @@ def first_missing(kept: DataFrame, n: int = MISSING_SAMPLES) -> DataFrame:
     return missing.orderBy("ord").limit(n).select("id", "reason")
 
 
-def summary(notes: DataFrame, bank: DataFrame, kept: DataFrame, histogram: DataFrame) -> DataFrame:
-    """All counts of the job in one row, from four one-row aggregates side by side."""
+def summary(
+    notes: DataFrame, bank: DataFrame, questions: DataFrame, kept: DataFrame, histogram: DataFrame
+) -> DataFrame:
+    """All counts of the job in one row, from five one-row aggregates side by side.
+
+    Bank rows that are left out are all rows less the usable ones, so no text is read again for this.
+    """
     parts = [
         notes.agg(F.count("*").alias("notes_total")),
-        bank_counts(bank),
+        bank.agg(F.count("*").alias("bank_total")),
+        questions.agg(F.count("*").alias("usable")),
         kept.agg(
             F.count("*").alias("family_rows"),
             F.count_if(F.col("n_candidates") > 0).alias("matched"),
@@ -169,7 +177,11 @@ def summary(notes: DataFrame, bank: DataFrame, kept: DataFrame, histogram: DataF
     stacked = parts[0]
     for part in parts[1:]:
         stacked = stacked.unionByName(part, allowMissingColumns=True)
-    return stacked.agg(*(F.max(c).alias(c) for c in stacked.columns))
+    row = stacked.agg(*(F.max(c).alias(c) for c in stacked.columns))
+    bad = (F.col("bank_total") - F.col("usable")).alias("bank_missing_fields")
+    return row.select(
+        "notes_total", "bank_total", bad, "family_rows", "matched", "ambiguous", "missing", "shift"
+    )
 
 
 def run_mapping(

@@ -27,7 +27,7 @@ def done_ids(
     if query is not None:
         own = (F.col("query") == query) & (F.col("batch") == batch)
         stored = stored.where(~own)
-    return stored.select("id").where(F.col("id").isNotNull()).distinct()
+    return stored.select("id").where(F.col("id").isNotNull())
 
 
 def start_incremental(
