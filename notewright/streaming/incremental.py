@@ -23,7 +23,8 @@ def done_ids(
     """``(id)`` of all records under ``out``, except those of the batch that is being written."""
     if not path_exists(spark, out):
         return spark.createDataFrame([], "id string")
-    stored = spark.read.option("basePath", out).parquet(out)
+    # The schema is given, so that no file is opened for it and a folder without any is no error.
+    stored = spark.read.schema("id string, query string, batch bigint").parquet(out)
     if query is not None:
         own = (F.col("query") == query) & (F.col("batch") == batch)
         stored = stored.where(~own)

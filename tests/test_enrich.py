@@ -166,6 +166,8 @@ def test_incremental_runs(spark, tmp_path):
         return sorted(r["id"] for r in spark.read.parquet(out).collect())
 
     assert done_ids(spark, out).count() == 0
+    (tmp_path / "out" / "query=q" / "batch=0" / "_temporary").mkdir(parents=True)
+    assert done_ids(spark, out, "q", 0).count() == 0
     add(range(0, 5))
     assert run("c1") == [f"n{i}" for i in range(5)]
     add(range(3, 8))
