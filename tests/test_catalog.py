@@ -6,6 +6,8 @@ import os
 import pytest
 
 import __spark_entry__ as driver
+from notewright.catalog.oracles import ORACLES
+from notewright.catalog.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -28,10 +30,12 @@ def table(columns, rows):
 
 
 def test_every_query_has_its_sql():
-    assert driver.queries().keys() == driver.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.keys() <= driver.queries().keys()
+    assert ORACLES.keys() <= driver.oracle_sql().keys()
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     df = driver.queries()[name](spark, SF_DIR)
     want = con.execute(driver.oracle_sql()[name])
