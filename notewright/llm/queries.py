@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notewright.llm import quality
+from notewright.llm import quality, secrets, sharding
 from notewright.llm.base import table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,30 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op2_lpt_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.balanced_shards(table(spark, sf_dir, "documents"), n_shards=8)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query
+def op7_secret_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    marked = secrets.with_secret_spans(docs, "spans")
+    spans = F.array_remove(F.split("spans", ","), "")
+    of = lambda kind: F.filter("_spans", lambda s: s.startswith(kind + ":"))
+    base = F.filter("_spans", lambda s: ~s.startswith("novel:"))
+    return marked.withColumn("_spans", spans).select(
+        "doc_id",
+        *[F.size(of(kind)).cast("bigint").alias(f"n_{kind}") for kind in ("assign", "access", "hex", "novel")],
+        F.sha2(F.array_join(base, ",").cast("binary"), 256).alias("base_sha256"),
+        "spans",
+    )
+
+
 @query
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
