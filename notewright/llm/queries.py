@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notewright.llm import quality, secrets, sharding
+from notewright.llm import packing, quality, secrets, sharding
 from notewright.llm.base import table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,18 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+def vocabulary() -> str:
+    """The tokenizer file of the packing query."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary(), capacity=2048)
+
+
 @query
 def op2_lpt_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.balanced_shards(table(spark, sf_dir, "documents"), n_shards=8)
