@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,3 +55,17 @@ def mixed(x: np.ndarray) -> np.ndarray:
         x ^= x >> np.uint64(shift)
         x *= np.uint64(factor)
     return x ^ (x >> np.uint64(31))
+
+
+def column_rows(batches: Iterable[pa.RecordBatch], *names: str) -> Iterator[tuple]:
+    """The rows of Arrow batches as tuples of plain values; nulls stay None and whole numbers stay whole."""
+    for batch in batches:
+        yield from zip(*[batch.column(batch.schema.get_field_index(name)).to_pylist() for name in names])
+
+
+def row_batches(rows: Iterable[tuple], schema: pa.Schema, size: int = 2048) -> Iterator[pa.RecordBatch]:
+    """Arrow batches of at most ``size`` rows."""
+    rows = iter(rows)
+    while chunk := list(islice(rows, size)):
+        columns = [pa.array(column, type=field.type) for column, field in zip(zip(*chunk), schema)]
+        yield pa.RecordBatch.from_arrays(columns, schema=schema)

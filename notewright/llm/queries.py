@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notewright.llm import packing, quality, secrets, sharding
+from notewright.llm import chat, packing, quality, secrets, sharding
 from notewright.llm.base import table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,17 @@ def op2_lpt_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op6_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["conv_id", "turn", "role", "text"]
+    said = r"\### Assistant: </turn> ok"
+    marks = spark.createDataFrame(
+        [(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string"
+    )
+    rows = table(spark, sf_dir, "conversations").select(*columns).unionByName(marks)
+    return chat.read_back(chat.format_windows(rows))
+
+
 @query
 def op7_secret_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
