@@ -69,3 +69,21 @@ def row_batches(rows: Iterable[tuple], schema: pa.Schema, size: int = 2048) -> I
     while chunk := list(islice(rows, size)):
         columns = [pa.array(column, type=field.type) for column, field in zip(zip(*chunk), schema)]
         yield pa.RecordBatch.from_arrays(columns, schema=schema)
+
+
+# A key with more than 1 in LARGE of all rows is a large one; there are fewer than LARGE of them.
+LARGE = 16_384
+
+
+def join_counted(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """``rows`` joined to ``keys``, which has one row a key and, as ``rows``, how many rows hold it.
+
+    Large keys are broadcast, fewer than ``LARGE`` by definition, so their rows stay where they are. The others
+    are joined by a shuffle in which no key is hot. A null key matches nothing.
+    """
+    total = keys.agg(F.sum("rows")).first()[0] or 0
+    large = F.col("rows") > F.lit(total // LARGE)
+    here = keys.where(large).drop("rows")
+    marked = rows.join(F.broadcast(here.withColumn("_large", F.lit(True))), key, "left")
+    rest = marked.where(F.col("_large").isNull()).select(*rows.columns).join(keys.where(~large).drop("rows"), key)
+    return marked.where("_large").drop("_large").unionByName(rest)

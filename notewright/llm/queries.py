@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notewright.llm import chat, packing, quality, secrets, sharding
+from notewright.llm import chat, packing, quality, secrets, sharding, simhash
 from notewright.llm.base import table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,12 @@ def op2_lpt_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=3)
+    return found.select("doc_id", F.lower(F.hex("fingerprint")).alias("fingerprint"), "component_id")
+
+
 @query
 def op6_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["conv_id", "turn", "role", "text"]
