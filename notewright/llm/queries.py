@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notewright.llm import chat, packing, quality, secrets, sharding, simhash
-from notewright.llm.base import table
+from notewright.llm import chat, packing, quality, secrets, sharding, simhash, toxicity
+from notewright.llm.base import fold, table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -72,6 +72,17 @@ def op7_secret_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op8_toxic_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False))
+    entries, weights = toxicity.train(docs, labels.where(~held_out))
+    scored = toxicity.with_toxicity(docs, entries, weights)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
 @query
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
