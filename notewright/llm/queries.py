@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notewright.llm import chat, packing, quality, secrets, sharding, simhash, toxicity
+from notewright.llm import chat, decontaminate, packing, quality, secrets, sharding, simhash, toxicity
 from notewright.llm.base import fold, table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,8 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
             "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score",
         )],
     )
+
+
+@query
+def op10_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
