@@ -39,6 +39,11 @@ def whole_text(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """All columns of a row in one struct, ``row``, out of the way of any column that is added."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+
+
 def word_array(text: Column) -> Column:
     return F.array_remove(F.split(text, SPACE), "")
 

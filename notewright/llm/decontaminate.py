@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from notewright.llm.base import column_rows, mixed, ready, row_batches, whole_text
+from notewright.llm.base import column_rows, mixed, ready, row_batches, whole_row, whole_text
 from notewright.session import scratch_path, settle
 
 # Fixed masks; 1 keeps a position. All begin and end with a kept one.
@@ -231,6 +231,5 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, all columns, whose text overlaps with no item."""
     _, found = overlaps(docs, benchmark, **options)
-    keyed = docs.withColumn("_key", text_key())
-    bad = found.select(F.col("key").alias("_key")).distinct()
-    return keyed.join(bad, "_key", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    keyed = docs.select(whole_row(docs), text_key().alias("key"))
+    return keyed.join(found.select("key").distinct(), "key", "left_anti").select("row.*")

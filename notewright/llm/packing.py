@@ -106,6 +106,13 @@ def byte_characters() -> list[str]:
     return [chr(byte if byte in plain else next(others)) for byte in range(256)]
 
 
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    """The path of a public tokenizer file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 _TOKENIZERS: dict[str, WordTokenizer] = {}
 
 

@@ -15,7 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from notewright.llm.base import whole_text, word_array
+from notewright.llm.base import whole_row, whole_text, word_array
 
 # Fixed values of the base rules.
 SYMBOLS = "[#*$%&|<>]"
@@ -96,14 +96,14 @@ def train_weights(docs: DataFrame, trusted: DataFrame) -> list[int]:
     return [round(SCALE * (math.log((g + 1) / (r + 1)) + level)) for g, r in pairs]
 
 
-def with_quality(docs: DataFrame, weights: list[int], threshold: float = THRESHOLD) -> DataFrame:
-    """All rows and columns of ``docs`` and one struct column ``_quality`` beside them.
+def judged(docs: DataFrame, weights: list[int], threshold: float = THRESHOLD) -> DataFrame:
+    """``(row, quality)``: every row of ``docs`` as it is, and what was found out about it.
 
-    Its fields are ``n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed score kept``. A row is
-    judged where it stands; nothing is shuffled.
+    The fields of ``quality`` are ``n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed score kept``.
+    A row is judged where it stands; nothing is shuffled.
     """
     table = F.split(F.lit(",".join(map(str, weights))), ",").cast("array<int>")
-    rows = with_repeats(with_hashes(docs))
+    rows = with_repeats(with_hashes(docs.select(whole_row(docs), whole_text().alias("text"))))
     text = whole_text()
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     every = F.concat("_h1", "_h2")
@@ -112,8 +112,8 @@ def with_quality(docs: DataFrame, weights: list[int], threshold: float = THRESHO
     count = lambda c: c.cast("bigint")
     n, repeat = count(F.col("_n")), F.col("_repeat")
     failed = (n < LEAST_WORDS) | (F.lit(100) * repeat > F.lit(MOST_REPEATED_PERCENT) * n)
-    score = F.coalesce(F.try_divide(F.col("_total"), F.lit(SCALE) * F.greatest(2 * n - 1, F.lit(1))), F.lit(0.0))
-    found = F.struct(
+    score = F.col("_total") / (F.lit(SCALE) * F.greatest(2 * n - 1, F.lit(1)))
+    return rows.select("row", F.struct(
         n.alias("n_words"),
         count(F.char_length(F.array_join("_words", ""))).alias("word_chars"),
         count(F.regexp_count(text, F.lit(SYMBOLS))).alias("n_symbols"),
@@ -122,10 +122,14 @@ def with_quality(docs: DataFrame, weights: list[int], threshold: float = THRESHO
         failed.alias("base_failed"),
         score.alias("score"),
         (~failed & (score >= F.lit(threshold))).alias("kept"),
-    )
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns], found.alias("_quality"))
+    ).alias("quality"))
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``with_quality`` with weights trained on ``docs`` itself and the bounded trusted sample of ``labels``."""
-    return with_quality(docs, train_weights(docs, trusted_ids(labels)), threshold)
+    """``judged`` with weights trained on ``docs`` itself and the bounded trusted sample of ``labels``."""
+    return judged(docs, train_weights(docs, trusted_ids(labels)), threshold)
+
+
+def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, all columns, that the rules keep."""
+    return quality_rules(docs, labels, threshold).where("quality.kept").select("row.*")

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from notewright.llm import chat, decontaminate, packing, quality, secrets, sharding, simhash, toxicity
 from notewright.llm.base import fold, table
 
@@ -19,16 +20,9 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
-def vocabulary() -> str:
-    """The tokenizer file of the packing query."""
-    import public_tokenizers
-
-    return public_tokenizers.path("byte_bpe_50k.json")
-
-
 @query
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary(), capacity=2048)
+    return packing.pack_documents(table(spark, sf_dir, "documents"), packing.vocabulary(), capacity=2048)
 
 
 @query
@@ -59,13 +53,11 @@ def op6_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_secret_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    marked = secrets.with_secret_spans(docs, "spans")
-    spans = F.array_remove(F.split("spans", ","), "")
+    marked = secrets.scanned(table(spark, sf_dir, "documents").select("doc_id", "text"))
     of = lambda kind: F.filter("_spans", lambda s: s.startswith(kind + ":"))
     base = F.filter("_spans", lambda s: ~s.startswith("novel:"))
-    return marked.withColumn("_spans", spans).select(
-        "doc_id",
+    return marked.withColumn("_spans", F.array_remove(F.split("spans", ","), "")).select(
+        F.col("row.doc_id").cast("bigint").alias("doc_id"),
         *[F.size(of(kind)).cast("bigint").alias(f"n_{kind}") for kind in ("assign", "access", "hex", "novel")],
         F.sha2(F.array_join(base, ",").cast("binary"), 256).alias("base_sha256"),
         "spans",
@@ -86,15 +78,22 @@ def op8_toxic_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    judged = quality.quality_rules(docs.select("doc_id", "text"), labels)
-    return judged.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"),
-        *[f"_quality.{c}" for c in (
-            "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score",
-        )],
+    found = quality.quality_rules(docs.select("doc_id", "text"), labels)
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
+    return found.select(
+        F.col("row.doc_id").cast("bigint").alias("doc_id"), *[F.col(f"quality.{c}").alias(c) for c in names]
     )
 
 
 @query
 def op10_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+if corpus_pipeline.ORACLE_SQL is not None:
+    LLM_ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from notewright.llm.base import ready, whole_text
+from notewright.llm.base import ready, whole_row, whole_text
 
 # Fixed values of the base patterns, in the order that breaks ties of a start.
 KINDS = ("assign", "access", "hex", "novel")
@@ -46,7 +46,7 @@ NOVELTY = 0.55
 DICTIONARY = 4096
 IDENTIFIER = r"[A-Za-z_][A-Za-z0-9]*(?:[_./-][A-Za-z0-9]+)+|[a-z]+[A-Z][A-Za-z0-9]+"
 
-MARK = "_secret_spans"
+REDACTED = "[REDACTED]"
 
 
 def identifiers(docs: DataFrame, most: int = DICTIONARY) -> list[str]:
@@ -124,20 +124,54 @@ class Scanner:
         return ",".join(f"{kind}:{start}:{end}" for start, end, kind in order)
 
 
-def scan_with(names: list[str]):
+def redacted(text: str, spans: list[tuple[int, int]]) -> str:
+    """The text with every stretch that spans cover replaced by ``REDACTED``."""
+    parts, at = [], 0
+    for start, end in sorted(spans):
+        if start >= at:
+            parts += [text[at:start], REDACTED]
+        at = max(at, end)
+    return "".join([*parts, text[at:]])
+
+
+def _by_text(make):
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        scanner = Scanner(names)
+        find = make()
         for batch in batches:
-            yield pd.Series([scanner.spans(text) for text in batch], dtype=object)
+            yield pd.Series([find(text) for text in batch], dtype=object)
 
-    return F.pandas_udf(run, "string")
+    # The result is used more than once by what follows; as nondeterministic it is still computed once a row.
+    return F.pandas_udf(run, "string").asNondeterministic()
 
 
-def with_secret_spans(docs: DataFrame, name: str = MARK, most_identifiers: int = DICTIONARY) -> DataFrame:
-    """All rows and columns of ``docs`` and a column of spans ``kind:start:end``, comma-joined, by start."""
-    spark = ready(docs.sparkSession)
+def scanned(docs: DataFrame, most_identifiers: int = DICTIONARY) -> DataFrame:
+    """``(row, spans)``: every row of ``docs`` as it is, and its spans ``kind:start:end``, comma-joined, by start."""
     ready(docs.sparkSession)
     names = identifiers(docs, most_identifiers)
-    scan = scan_with(names)
-    # The result is filtered and cut up by what follows; as nondeterministic it is still computed once a row.
-    return docs.select(*[F.col(f"`{c}`") for c in docs.columns], scan.asNondeterministic()(whole_text()).alias(name))
+    scan = _by_text(lambda: Scanner(names).spans)
+    return docs.select(whole_row(docs), scan(whole_text()).alias("spans"))
+
+
+def without_secrets(docs: DataFrame, most_identifiers: int = DICTIONARY) -> DataFrame:
+    """The rows of ``docs``, all columns, with each secret in the text replaced by ``REDACTED``.
+
+    A text without secrets, a null one included, stays as it is; ``n_chars`` follows the new text.
+    """
+    ready(docs.sparkSession)
+    names = identifiers(docs, most_identifiers)
+
+    def cleaner():
+        scanner = Scanner(names)
+
+        def clean(text: str) -> str | None:
+            spans = [s.split(":") for s in scanner.spans(text).split(",") if s]
+            return redacted(text, [(int(start), int(end)) for _, start, end in spans]) if spans else None
+
+        return clean
+
+    found = docs.select(whole_row(docs), _by_text(cleaner)(whole_text()).alias("clean"))
+    new = {"text": F.coalesce("clean", "row.text")}
+    if "n_chars" in docs.columns:
+        length = F.char_length("clean").cast(docs.schema["n_chars"].dataType)
+        new["n_chars"] = F.coalesce(length, "row.n_chars")
+    return found.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from notewright.llm.base import column_rows, join_counted, mixed, ready, row_batches, whole_text
+from notewright.llm.base import column_rows, join_counted, mixed, ready, row_batches, whole_row, whole_text
 from notewright.llm.components import components
 from notewright.session import scratch_path, settle, shuffle_partitions
 
@@ -235,19 +235,20 @@ def first_of_similar(docs: DataFrame, shingle: int = SHINGLE, similarity: float
     spark = ready(docs.sparkSession)
     ident = F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))
     key = F.unhex(F.md5(F.concat(ident, F.lit("\0"), whole_text())))
-    keyed = docs.withColumn("_key", key)
-    rows = keyed.select(F.col("doc_id").cast("bigint").alias("doc_id"), "_key", whole_text().alias("text"))
+    keyed = docs.select(whole_row(docs), key.alias("key"))
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), key.alias("key"), whole_text().alias("text"))
 
     def of(text: str) -> tuple[bytes, bytes]:
         words = text.encode().lower().split()
         bands = fingerprint(list(dict.fromkeys(words)), BAND_LANES)
-        return packed(fingerprint(shingles(words, shingle), LINK_LANES)), packed(bands)
+        parts = list(dict.fromkeys(shingles(words, shingle)))
+        return packed(fingerprint(parts, LINK_LANES)), packed(bands)
 
     rows = settle(with_fingerprints(rows, of, ["fingerprint", "bands"]), scratch_path(spark, "fingerprints"))
     vertices = rows.select("fingerprint", "bands").distinct()
     radius = similar_radius(similarity, 64 * LINK_LANES)
     edges = link_edges(vertices, band_cells, LINK_LANES, BAND_LANES, radius)
-    grouped = with_components(rows.select("doc_id", "_key", "fingerprint"), edges)
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "_key")
-    kept = grouped.groupBy("root").agg(F.min(order).alias("least")).select(F.col("least._key").alias("_key"))
-    return keyed.join(kept, "_key").dropDuplicates(["_key"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    grouped = with_components(rows.select("doc_id", "key", "fingerprint"), edges)
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "key")
+    kept = grouped.groupBy("root").agg(F.min(order).alias("least")).select(F.col("least.key").alias("key"))
+    return keyed.join(kept, "key").dropDuplicates(["key"]).select("row.*")
