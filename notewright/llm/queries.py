@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from notewright.llm import chat, decontaminate, packing, quality, secrets, sharding, simhash, toxicity
+from notewright.llm import chat, decontaminate, lm, packing, quality, secrets, sharding, simhash, toxicity
 from notewright.llm.base import fold, table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,16 @@ def op3_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.hex("fingerprint")).alias("fingerprint"), "component_id")
 
 
+@query
+def op5_trie_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(fold(F.col("doc_id"), 7) == 2, F.lit(False))
+    scored = lm.train(docs.where(~held_out)).score(docs)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 @query
 def op6_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["conv_id", "turn", "role", "text"]
