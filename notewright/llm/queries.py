@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from notewright.llm import chat, decontaminate, lm, packing, quality, secrets, sharding, simhash, toxicity
+from notewright.llm import chat, decontaminate, lm, packing, quality, secrets, sharding, simhash, suffix, toxicity
 from notewright.llm.base import fold, table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,14 @@ def op3_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.hex("fingerprint")).alias("fingerprint"), "component_id")
 
 
+@query
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix.without_repeats(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 @query
 def op5_trie_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
