@@ -126,7 +126,9 @@ def pair_blocks(chunk: Chunk, shards: int, heavy: np.ndarray, with_docs: bool) -
     key = (rank[chunk.word] << np.uint64(32)) | short[chunk.before]
     shard = home[chunk.word]
     hot = np.isin(chunk.hashes, heavy)[chunk.word]
-    shard[hot] = (mixed(key[hot]) % np.uint64(shards)).astype(np.uint32)
+    # By the hashes themselves, as the shard must not depend on what else the chunk holds.
+    both = chunk.hashes[chunk.word[hot]] + short[chunk.before[hot]]
+    shard[hot] = (mixed(both) % np.uint64(shards)).astype(np.uint32)
     by_key = np.argsort(key, kind="stable")
     by_shard = by_key[np.argsort(shard[by_key], kind="stable")]
     key, shard, doc = key[by_shard], shard[by_shard], chunk.doc[by_shard]
@@ -282,10 +284,9 @@ def build_trie(table: list[np.ndarray], known: Totals) -> bytes:
     rank = np.repeat(np.arange(len(nodes), dtype=np.uint64), children)
     lower = 10.0 ** known.log_word(words)
     values = np.log10(counts + np.repeat(lower, children))
-    # A codebook of means of equally filled bins.
-    order = np.argsort(values, kind="stable")
-    bins = np.empty(len(values), dtype=np.uint8)
-    bins[order] = (np.arange(len(values)) * LEVELS // max(1, len(values))).astype(np.uint8)
+    # A codebook of the means of bins of equal width.
+    low, high = (values.min(), values.max()) if len(values) else (0.0, 0.0)
+    bins = np.minimum((values - low) * (LEVELS / max(high - low, 1e-9)), LEVELS - 1).astype(np.uint8)
     size = np.maximum(np.bincount(bins, minlength=LEVELS), 1)
     book = np.bincount(bins, weights=values, minlength=LEVELS) / size
     pointers = np.concatenate([[0], np.cumsum(children.astype(np.int64))]).astype(np.uint64)

@@ -18,17 +18,17 @@ import math
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from notewright.llm.base import ready, texts
+from notewright.llm.base import column_rows, ready, row_batches, texts
 from notewright.session import scratch_path, settle
 
 CAPACITY = 2048
@@ -134,21 +134,24 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids:
     schema = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint" + ", ids binary" * with_ids
     end = np.array([END_ID], dtype="<u4").tobytes()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][:5 + with_ids]
+    kinds = {"piece": pa.int32(), "ids": pa.binary()}
+    fields = pa.schema([(name, kinds.get(name, pa.int64())) for name in names])
+
+    def pieces(rows: Iterable[tuple]) -> Iterator[tuple]:
         tokenizer = word_tokenizer(path)
-        for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                data = tokenizer.ids(text) + end
-                start = 0
-                for piece, length in enumerate(cut(len(data) // 4, capacity)):
-                    ids = data[4 * start:4 * (start + length)]
-                    rows.append((doc_id, piece, start, length, zlib.crc32(ids), ids)[:5 + with_ids])
-                    start += length
-            names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][:5 + with_ids]
-            yield pd.DataFrame(rows, columns=names).astype({"doc_id": batch["doc_id"].dtype})
+        for doc_id, text in rows:
+            data = tokenizer.ids(text) + end
+            start = 0
+            for piece, length in enumerate(cut(len(data) // 4, capacity)):
+                ids = data[4 * start:4 * (start + length)]
+                yield (doc_id, piece, start, length, zlib.crc32(ids), ids)[:len(names)]
+                start += length
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return row_batches(pieces(column_rows(batches, "doc_id", "text")), fields)
 
-    return texts(docs).mapInPandas(run, schema)
+    return texts(docs).mapInArrow(run, schema)
 
 
 class BestFit:
@@ -196,17 +199,19 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS
     added = [StructField(name, LongType()) for name in ("sequence_id", "offset")]
     schema = StructType(pieces.schema.fields + added)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = BestFit(capacity, open_bins, first=TaskContext.get().partitionId() << 40)
         for batch in batches:
-            batch = batch.sort_values("length", ascending=False, kind="stable")
-            placed = [packer.place(length) for length in batch["length"].tolist()]
-            yield batch.assign(sequence_id=[p[0] for p in placed], offset=[p[1] for p in placed])
+            lengths = batch.column(batch.schema.get_field_index("length")).to_numpy()
+            order = np.argsort(-lengths, kind="stable")
+            placed = np.array([packer.place(n) for n in lengths[order].tolist()], dtype=np.int64).reshape(-1, 2)
+            columns = batch.take(pa.array(order)).columns + [pa.array(placed[:, 0]), pa.array(placed[:, 1])]
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "sequence_id", "offset"])
 
     # Dealt out without a key, so equal rows and ids spread like all others. Pieces arrive in an order that has
     # nothing to do with their length, and each batch of arrivals is placed from the longest down.
     mixed = pieces.repartition(packers).sortWithinPartitions(F.xxhash64(*pieces.columns))
-    return mixed.mapInPandas(run, schema)
+    return mixed.mapInArrow(run, schema)
 
 
 def sequences(packed: DataFrame) -> DataFrame:
