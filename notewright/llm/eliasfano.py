@@ -78,11 +78,11 @@ class EliasFano:
         if not self.n:
             return np.zeros(len(x), dtype=np.int64)
         x = x.astype(np.uint64)
-        bucket = (x >> np.uint64(self.width)).astype(np.int64)
         inverted = lambda w: ~self.high[w]
-        buckets = int(self.zeros[-1])
+        buckets = np.uint64(self.zeros[-1])
+        bucket = x >> np.uint64(self.width)
         past = bucket >= buckets
-        bucket = np.minimum(bucket, buckets - 1)
+        bucket = np.minimum(bucket, buckets - np.uint64(1)).astype(np.int64)
         # Numbers of a bucket stand between the zero before it and its own.
         first = np.zeros(len(x), dtype=np.int64)
         later = bucket > 0

@@ -1,0 +1,89 @@
+import hashlib
+import random
+import re
+import string
+
+from notewright.llm import secrets
+from notewright.llm.base import table
+from notewright.llm.queries import LLM_QUERIES
+
+ASSIGN = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+FIXED = (("assign", ASSIGN, lambda m: len(m[2]) >= 6), ("access", re.compile("AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 20),
+         ("hex", re.compile("[0-9a-f]+"), lambda m: len(m[0]) >= 24))
+
+
+def plain_base(text):
+    found = [(m.start(), k, kind, m.end()) for k, (kind, pattern, holds) in enumerate(FIXED)
+             for m in pattern.finditer(text or "") if holds(m)]
+    return [f"{kind}:{start}:{end}" for start, _, kind, end in sorted(found)]
+
+
+def base_of(spans):
+    return [s for s in spans.split(",") if s and not s.startswith("novel:")]
+
+
+def test_base_spans_of_the_whole_table(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    for row, spans in secrets.scanned(docs).collect():
+        assert base_of(spans) == plain_base(row["text"])
+
+
+def test_digests_of_the_query(spark):
+    texts = {r["doc_id"]: r["text"] for r in table(spark, "/root/testdata/sf0.001", "documents").collect()}
+    rows = LLM_QUERIES["op7_secret_novelty"](spark, "/root/testdata/sf0.001").collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        base = plain_base(texts[r["doc_id"]])
+        assert r["base_sha256"] == hashlib.sha256(",".join(base).encode()).hexdigest()
+        assert [r["n_assign"], r["n_access"], r["n_hex"]] == [
+            sum(s.startswith(kind) for s in base) for kind in ("assign", "access", "hex")]
+
+
+def test_tricky_base_spans():
+    scanner = secrets.Scanner([])
+    for text in ["PassWord = 'abcdef", "password:token=abcdefg", "api-key=abcdefg apiKey=abcdefg", "secret=abc secret=abcdef",
+                 "AKIA" + "A" * 15, "AKIA" + "A" * 16, "a" * 23, "A" + "f" * 24, "ſecret=abcdefg", "toKen = abcdefgh",
+                 "token=" + "0" * 30, "é🙂token=abcdefg", "token = \"\n"]:
+        assert base_of(scanner.spans(text)) == plain_base(text)
+
+
+def test_incompressible_strings_in_sensitive_context_are_novel():
+    rng = random.Random(1)
+    names = [f"client_session_{k}" for k in range(50)] + ["authentication.handler.factory2"]
+    scanner = secrets.Scanner(names)
+    hits = 0
+    for _ in range(50):
+        key = "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(32))
+        text = f"def connect():\n    # the signing key goes here\n    private {key} end\n    return 1\n"
+        at = text.index(key)
+        hits += f"novel:{at}:{at + 32}" in scanner.spans(text).split(",")
+    assert hits == 50
+    for plain in ["the session uses authentication.handler.factory2 here", "private zzzzzzzzzzzzzzzzzzzzzzzzzzzzzzz1",
+                  "key client_session_12 and client_session_13", "nothing sensitive Zx81kQp0aLw93mVb77Tn here"]:
+        assert scanner.spans(plain) == ""
+    copy = "Zx81kQp0aLw93mVb77TnRk52"
+    assert scanner.spans(f"auth {copy}").startswith("novel") and scanner.spans(f"{copy} then key {copy}") == ""
+
+
+def test_secrets_are_redacted(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    got = {r["doc_id"]: r for r in secrets.without_secrets(docs).collect()}
+    changed = 0
+    for r in docs.collect():
+        spans = plain_base(r["text"])
+        new = got[r["doc_id"]]
+        if spans:
+            changed += 1
+            assert secrets.REDACTED in new["text"] and new["n_chars"] == len(new["text"])
+        assert plain_base(new["text"]) == []
+    assert changed > 5 and len(got) == docs.count()
+    assert secrets.redacted("abcdefgh", [(1, 3), (2, 5), (6, 7)]) == "a[REDACTED]f[REDACTED]h"
+
+
+def test_odd_rows(odd_documents, no_documents):
+    for row, spans in secrets.scanned(odd_documents).collect():
+        assert base_of(spans) == plain_base(row["text"])
+    clean = secrets.without_secrets(odd_documents)
+    assert clean.schema.names == odd_documents.columns and clean.count() == 11
+    assert sum(r["text"] is None for r in clean.collect()) == 2
+    assert secrets.scanned(no_documents).count() == 0 and secrets.without_secrets(no_documents).count() == 0
