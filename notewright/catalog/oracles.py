@@ -185,7 +185,16 @@ REPLICAS = _with(
     FROM merged""",
 )
 
+# The place of each document in four files by the remainder of its id, for either format.
+PLACES = """
+    SELECT fmt, row_number() OVER (PARTITION BY fmt ORDER BY file, doc_id) - 1 AS place, {value} AS {name}
+    FROM (SELECT doc_id, CASE WHEN doc_id % 97 = 0 THEN 'a' WHEN doc_id % 97 = 1 THEN 'c'
+                              WHEN doc_id % 2 = 0 THEN 'b' ELSE 'd' END AS file FROM documents)
+    CROSS JOIN (VALUES ('parquet'), ('json')) AS f(fmt)"""
+
 ORACLES: dict[str, str] = {
+    "scan_notes_files": PLACES.format(value="doc_id::VARCHAR", name="id"),
+    "scan_bank_files": PLACES.format(value="doc_id::VARCHAR", name="idx_raw"),
     "scan_notes": "SELECT doc_id AS ord, CAST(doc_id AS VARCHAR) AS id, text AS note FROM documents",
     "qbank_scan_counts": _with(
         "qbank",

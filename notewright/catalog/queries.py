@@ -19,7 +19,7 @@ from notewright.operators.prompts import prompt_variants
 from notewright.operators.replies import with_parsed
 from notewright.operators.resume import clean_ids, without_done
 from notewright.plans import enrich, mapping
-from notewright.session import configure, scratch_path
+from notewright.session import configure, scratch_path, settle
 from notewright.sources import notes as note_sources
 from notewright.sources import run_log, shards
 from notewright.sources.lookup import read_lookup_report
@@ -52,6 +52,37 @@ def scan_notes(spark, sf_dir):
     )
 
 
+def _as_files(spark, sf_dir, fmt, names):
+    """``documents`` under ``names`` in four files of very different size whose names give the order of ids."""
+    path = scratch_path(spark, f"files-{fmt}")
+    rows = table(spark, sf_dir, "documents").select(*names)
+    ident = F.col("_id").cast("bigint")
+    for name, where in (("a", ident % 97 == 0), ("b", (ident % 97 > 1) & (ident % 2 == 0)),
+                        ("c", ident % 97 == 1), ("d", (ident % 97 > 1) & (ident % 2 == 1))):
+        rows.where(where).repartition(1).sortWithinPartitions(ident).write.format(fmt).save(f"{path}/part={name}")
+    return path
+
+
+@query
+def scan_notes_files(spark, sf_dir):
+    names = [F.col("doc_id").alias("_id"), F.col("text").alias("description")]
+    ranks = []
+    for fmt in ("parquet", "json"):
+        notes = note_sources.read_notes(spark, _as_files(spark, sf_dir, fmt, names), fmt)
+        ranks.append(note_sources.ranked(notes.select("ord", "id")).select(F.lit(fmt).alias("fmt"), "_rank", "id"))
+    return ranks[0].unionByName(ranks[1]).withColumnRenamed("_rank", "place")
+
+
+@query
+def scan_bank_files(spark, sf_dir):
+    names = [F.col("doc_id").alias("_id"), F.col("doc_id").alias("index"), F.col("text").alias("question")]
+    ranks = []
+    for fmt in ("parquet", "json"):
+        bank = note_sources.read_bank(spark, _as_files(spark, sf_dir, fmt, names), fmt)
+        ranks.append(note_sources.ranked(bank.select("ord", "idx_raw")).select(F.lit(fmt).alias("fmt"), "_rank", "idx_raw"))
+    return ranks[0].unionByName(ranks[1]).withColumnRenamed("_rank", "place")
+
+
 @query
 def qbank_scan_counts(spark, sf_dir):
     return matching.bank_counts(view(spark, sf_dir, "qbank"))
@@ -152,7 +183,8 @@ def shard_counts(spark, sf_dir):
 
 @query
 def id_family_filter(spark, sf_dir):
-    return filters.family_notes(view(spark, sf_dir, "notes"), "usmle").select("ord", "id", "num")
+    rows = filters.family_notes(view(spark, sf_dir, "notes"), "usmle")
+    return rows.select("ord", "id", F.col("num").cast("bigint").alias("num"))
 
 
 @query
@@ -198,8 +230,9 @@ def source_url(spark, sf_dir):
 
 @query
 def dedup_keep_first(spark, sf_dir):
-    rows = _family_rows(spark, sf_dir)
+    rows = settle(_family_rows(spark, sf_dir), scratch_path(spark, "rows"))
     marked = duplicates.mark_first(rows, duplicates.first_of_each_text(rows))
+    marked = settle(marked, scratch_path(spark, "marked"))
     return duplicates.keep_first(marked, keys=rows).select("ord", "id")
 
 
@@ -257,17 +290,18 @@ def qbank_candidates(spark, sf_dir):
 
 @query
 def shift_histogram(spark, sf_dir):
-    return _mapping(spark, sf_dir).shift_histogram
+    return _mapping(spark, sf_dir).shift_histogram.withColumn("shift", F.col("shift").cast("bigint"))
 
 
 @query
 def constant_shift(spark, sf_dir):
-    return matching.constant_shift(_mapping(spark, sf_dir).shift_histogram)
+    found = matching.constant_shift(_mapping(spark, sf_dir).shift_histogram)
+    return found.select(F.col("shift").cast("bigint").alias("shift"))
 
 
 @query
 def mapping_summary(spark, sf_dir):
-    return _mapping(spark, sf_dir).summary
+    return _mapping(spark, sf_dir).summary.withColumn("shift", F.col("shift").cast("bigint"))
 
 
 @query

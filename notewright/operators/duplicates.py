@@ -12,10 +12,14 @@ from pyspark.sql import functions as F
 
 from notewright.functions.text import text_key
 from notewright.operators.joins import salted_join
+from notewright.session import scratch_path, settle
 
 # Longest list in one row of a result. Longer lists go on in further rows, in order.
 PIECE = 1 << 14
 
+# Size of the filter that picks the texts of a report.
+HEAD_BITS = 1 << 22
+
 
 def keyed(notes: DataFrame) -> DataFrame:
     """The rows without their text: ``key`` stands for it from here on."""
@@ -76,5 +80,20 @@ def in_pieces(rows: DataFrame, group: str, value: str, name: str, piece: int = P
 
 
 def with_text(groups: DataFrame, notes: DataFrame) -> DataFrame:
-    """Put the note text back, read from the row with the same ``ord``."""
-    return groups.join(notes.select("ord", "note"), "ord")
+    """Put the note text back, read from the row with the same ``ord``.
+
+    A filter of fixed size over the wanted ``ord`` values is applied where the notes are read, so that few
+    other texts are shuffled. It never leaves out a wanted one.
+    """
+    spark = notes.sparkSession
+    groups = settle(groups, scratch_path(spark, "heads"))
+    place = F.pmod(F.xxhash64("ord"), F.lit(HEAD_BITS))
+    words = groups.groupBy(F.floor(place / F.lit(64)).cast("int").alias("word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(place, F.lit(64)).cast("int"))).alias("bits")
+    )
+    wanted = notes.select("ord", "note", F.floor(place / F.lit(64)).cast("int").alias("word"),
+                          F.pmod(place, F.lit(64)).cast("int").alias("_bit"))
+    # At most HEAD_BITS / 64 rows, whatever the data.
+    near = wanted.join(F.broadcast(words), "word")
+    near = near.where(F.call_function("getbit", F.col("bits"), F.col("_bit")) == 1)
+    return groups.join(near.select("ord", "note"), "ord")

@@ -51,8 +51,9 @@ def in_family(id_col: Column, family: str) -> Column:
 
 
 def family_number(id_col: Column, family: str) -> Column:
-    """The number in the id, null beyond 64 bits."""
-    return F.regexp_extract(id_col, id_family(family), 1).try_cast("bigint")
+    """The number in the id, null beyond 37 digits."""
+    digits = F.regexp_extract(id_col, id_family(family), 1)
+    return F.when(digits.rlike(r"\A0*[0-9]{1,37}\z"), digits.try_cast("decimal(38,0)"))
 
 
 def family_notes(notes: DataFrame, family: str) -> DataFrame:

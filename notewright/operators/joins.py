@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from notewright.session import shuffle_partitions
 
-# A key below a thousandth of all rows is left to Spark's own skew handling.
-MOST_HEAVY_KEYS = 1000
+# Rows without a key go into this many pieces for each shuffle partition, so that they fill the tasks evenly.
+LONE_PIECES = 64
 # The sketches of the tasks are merged in this many groups first, and not all in one place.
 SKETCH_GROUPS = 512
 
@@ -18,12 +18,12 @@ def heavy_keys(df: DataFrame, key: str, parts: int) -> list[tuple[int, int]]:
 
     A piece is at most a quarter of an even share, so that two pieces that meet in one task do no harm.
     There are fewer than ``parts`` such keys, whatever the data, and their pieces together are at most
-    ``5 * parts``; so this list is bounded by a setting of the session and not by the data.
+    ``5 * parts``; so this list is bounded by a setting of the session and not by the data. Runs a job.
 
     The counts come from a frequent-items sketch of fixed size per task; no key is shuffled. A sketch may
     miss a key near the limit. That costs balance and never changes a result.
     """
-    kept = min(parts, MOST_HEAVY_KEYS)
+    kept = parts
     tracked = max(4096, 16 * kept)
     hashed = df.where(F.col(key).isNotNull()).select(F.xxhash64(key).alias("h"))
     groups = hashed.groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("g")).agg(
@@ -39,7 +39,7 @@ def heavy_keys(df: DataFrame, key: str, parts: int) -> list[tuple[int, int]]:
 
 def salted_join(
     left: DataFrame, right: DataFrame, key: str, how: str, spread_by: str,
-    keys: DataFrame | None = None, parts: int | None = None,
+    keys: DataFrame | None = None, parts: int | None = None, heavy: list[tuple[int, int]] | None = None,
 ) -> DataFrame:
     """Join ``left`` to ``right`` on ``key`` with the heavy keys of ``left`` spread over many tasks.
 
@@ -50,7 +50,9 @@ def salted_join(
     of the plain join.
 
     ``keys`` are the keys to look for heavy ones in, by default those of ``left``. A column that holds
-    them all, and more, serves as well; give it where ``left`` is costly to compute.
+    them all, and more, serves as well; give it where ``left`` is costly to compute. ``heavy`` is a list
+    that :func:`heavy_keys` made before, so that one pass serves several joins. Without it this looks for
+    heavy keys at once, which is a job of its own.
     """
     if how not in ("left", "inner", "left_anti", "left_semi"):
         raise ValueError(f"join type not supported: {how}")
@@ -60,18 +62,22 @@ def salted_join(
         right = right.select(key).distinct()
     spark = left.sparkSession
     parts = parts or shuffle_partitions(spark)
-    heavy = heavy_keys((left if keys is None else keys).select(key), key, parts)
+    if heavy is None:
+        heavy = heavy_keys((left if keys is None else keys).select(key), key, parts)
     columns = left.columns
     if how in ("left", "inner"):
         columns = columns + [c for c in right.columns if c != key]
     if not heavy and how in ("inner", "left_semi"):
         return left.join(right, key, how).select(*columns)
-    pieces = F.when(F.col(key).isNull(), F.lit(parts)).otherwise(F.lit(1))
-    spread, repeated = left, right.withColumn("_piece", F.lit(0))
+    lone = F.lit(parts * LONE_PIECES)
+    pieces = F.when(F.col(key).isNull(), lone).otherwise(F.lit(1))
+    # Always 0, but computed: a plain 0 would be folded into a condition, the piece would no longer be
+    # part of the join key, and all rows without a key would meet in one task.
+    spread, repeated = left, right.withColumn("_piece", F.pmod(F.xxhash64(key), F.lit(1)).cast("int"))
     if heavy:
         known = F.broadcast(spark.createDataFrame(heavy, "_hash bigint, _pieces int"))
         hashed = F.xxhash64(key).alias("_hash")
-        pieces = F.when(F.col(key).isNotNull(), F.col("_pieces")).otherwise(F.lit(parts))
+        pieces = F.when(F.col(key).isNotNull(), F.col("_pieces")).otherwise(lone)
         pieces = F.coalesce(pieces, F.lit(1))
         spread = left.select("*", hashed).join(known, "_hash", "left")
         last = F.coalesce(F.col("_pieces"), F.lit(1)) - F.lit(1)

@@ -31,17 +31,17 @@ def first_rows(df: DataFrame, n: int, per_shard: bool = False) -> DataFrame:
             .agg(F.count("*").alias("_n"))
             .withColumn("_before", F.sum("_n").over(upto) - F.col("_n"))
         )
-        # One row per shard at most: that is what bounds the broadcasts.
+        # One row per shard; the planner broadcasts it where it is small.
         cut = counts.where(
             (F.col("_before") < F.col("_need")) & (F.col("_before") + F.col("_n") >= F.col("_need"))
         ).select("shard", "_block", (F.col("_need") - F.col("_before")).alias("_need"))
         inside = slim.withColumn("_block", F.shiftright("ord", shift))
-        rows = inside.join(F.broadcast(cut), ["shard", "_block"]).drop("_block")
+        rows = inside.join(cut, ["shard", "_block"]).drop("_block")
     cut = cut.select("shard", F.col("_block").alias("_cut"))
     if not per_shard:
         bound = cut.agg(F.max("_cut")).scalar()
         return df.where(F.col("ord") <= F.coalesce(bound, F.lit(2**63 - 1)))
-    marked = df.join(F.broadcast(cut), "shard", "left")
+    marked = df.join(cut, "shard", "left")
     return marked.where(F.col("_cut").isNull() | (F.col("ord") <= F.col("_cut"))).select(*df.columns)
 
 

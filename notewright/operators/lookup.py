@@ -24,14 +24,17 @@ def with_source_url(
 ) -> DataFrame:
     """Add ``source``. Without a lookup, or without a hit, ids of the bank family have none.
 
-    Notes of other families have no key to look up; they take part in the join as rows without a key,
-    which are spread evenly. ``ids`` is where to look for ids on very many rows, as in
+    Only notes of the bank family take part in the join. The others get their link from the id where they
+    are, and are not shuffled. ``ids`` is where to look for ids on very many rows, as in
     :func:`notewright.operators.resume.without_done`.
     """
     if lookup is None:
         return notes.withColumn("source", source_url(F.col("id"), F.lit(None).cast("bigint")))
-    keyed = notes.withColumn("_key", bank_key(F.col("id")))
+    others = notes.where(bank_key(F.col("id")).isNull())
+    others = others.withColumn("source", source_url(F.col("id"), F.lit(None).cast("bigint")))
+    keyed = notes.withColumn("_key", bank_key(F.col("id"))).where(F.col("_key").isNotNull())
     rows = lookup.select(F.col("key").alias("_key"), F.col("row").alias("_row"))
     keys = None if ids is None else ids.select(bank_key(F.col("id")).alias("_key"))
     found = salted_join(keyed, rows, "_key", "left", spread_by="ord", keys=keys)
-    return found.withColumn("source", source_url(F.col("id"), F.col("_row"))).drop("_key", "_row")
+    found = found.withColumn("source", source_url(F.col("id"), F.col("_row"))).drop("_key", "_row")
+    return found.unionByName(others)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from notewright.functions.text import text_key, to_whole_number
 from notewright.operators.joins import salted_join
+from notewright.session import scratch_path, settle
 
 
 def usable_questions(bank: DataFrame) -> DataFrame:
@@ -33,16 +34,26 @@ def candidates(questions: DataFrame) -> DataFrame:
 
 
 def match_first(rows: DataFrame, questions: DataFrame) -> DataFrame:
-    """Add ``first_idx`` and ``n_candidates`` to rows ``(ord, id, key)``; null and 0 without a match."""
+    """Add ``first_idx`` and ``n_candidates`` to rows ``(ord, id, key)``; null and 0 without a match.
+
+    The keys are written to shared storage first, so that the texts behind them are read once, and not
+    again to look for heavy ones.
+    """
+    rows = settle(rows, scratch_path(rows.sparkSession, "keyed"))
     found = salted_join(rows, candidates(questions), "key", "left", spread_by="ord")
     return found.withColumn("n_candidates", F.coalesce("n_candidates", F.lit(0)))
 
 
 def shift_histogram(matched: DataFrame) -> DataFrame:
-    """How often each distance between the number in the id and the matched index occurs."""
+    """How often each distance between the number in the id and the matched index occurs.
+
+    Numbers of up to 37 digits are exact. Ids with longer numbers have no shift; they are counted together,
+    in the row whose ``shift`` is null.
+    """
+    shift = F.try_subtract(F.col("num").cast("decimal(38,0)"), F.col("first_idx").cast("decimal(38,0)"))
     return (
         matched.where(F.col("first_idx").isNotNull())
-        .groupBy((F.col("num") - F.col("first_idx")).alias("shift"))
+        .groupBy(shift.cast("decimal(38,0)").alias("shift"))
         .agg(F.count("*").alias("n"))
     )
 

@@ -2,7 +2,8 @@
 
 Notes and bank are brought together by text in one aggregate over their union, so a text that a third
 of all rows share, on either side, is counted down before anything is shuffled. What that finds out
-about a text goes back to its first row only, by ``ord``. The texts themselves are never shuffled.
+about a text goes back to its first row only, by ``ord``. Of the texts themselves only the first of each
+group of duplicates is shuffled, to be shown in the report.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from notewright.operators.duplicates import (
 from notewright.operators.filters import family_notes
 from notewright.operators.joins import salted_join
 from notewright.operators.matching import constant_shift, shift_histogram, usable_questions
-from notewright.session import path_exists, scratch_path, settle
+from notewright.session import path_exists, remove_path, scratch_path, settle
 
 MISSING_SAMPLES = 5
 
@@ -189,11 +190,13 @@ def run_mapping(
 ) -> bool:
     """Write the report under ``path``, unless a whole one is there already and ``force`` is not set.
 
-    The summary is written last and so tells that the report is whole. Returns whether the job ran.
+    The summary is written last and so tells that the report is whole; a forced run takes the old one away
+    first, so a run that fails half way leaves no report that looks whole. Returns whether the job ran.
     """
     if not force and path_exists(notes.sparkSession, f"{path}/summary/_SUCCESS"):
         return False
-    report = map_notes(notes, bank, work_dir=f"{path}/_steps", **options)
+    remove_path(notes.sparkSession, f"{path}/summary")
+    report = map_notes(notes, bank, **options)
     for part in REPORT_PARTS:
         getattr(report, part).write.mode("overwrite").parquet(f"{path}/{part}")
     return True

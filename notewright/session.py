@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -45,6 +44,8 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="notewright-"))
     return configure(spark)
 
 
@@ -55,15 +56,11 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path in the folder that all executors share.
 
-    The folder is ``spark.checkpoint.dir``. Where that is unset a local master may use the machine's
-    temporary folder; a cluster may not, because its executors would not see each other's files.
+    The folder is ``spark.checkpoint.dir``; :func:`local_session` sets it where it is unset.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = os.path.join(tempfile.gettempdir(), "notewright-scratch")
-        os.makedirs(base, exist_ok=True)
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     return f"{base.rstrip('/')}/notewright/{label}-{uuid.uuid4().hex}"
 
 
@@ -78,3 +75,9 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether anything is at ``path``, on whatever file system that names."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete ``path`` and what is in it, if it exists."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -7,22 +7,23 @@ from pyspark.sql import functions as F
 
 from notewright.operators.lookup import lookup_table
 
-# A JSON report is one value, so one task reads each file whole. Larger lookups belong in a table.
-MAX_REPORT_BYTES = 256 * 1024 * 1024
-
 
 def read_lookup_report(
-    spark: SparkSession, path: str, max_bytes: int = MAX_REPORT_BYTES
+    spark: SparkSession, path: str, max_bytes: int | None = None
 ) -> DataFrame:
     """``(key, row)`` from JSON files ``{"mapping": {id: number}}``, one report per file.
 
     Numbers and texts that hold whole numbers are taken, everything else is left out. Of entries whose
     keys differ only in case the last usable one wins, files in the order of their names.
+
+    A report of this form is one value, so one task reads each file whole; larger lookups are better kept
+    as a table. ``max_bytes`` refuses files above a size of the caller's choice.
     """
-    listing = spark.read.format("binaryFile").load(path).select("path", "length")
-    too_big = listing.where(F.col("length") > max_bytes).select("path").limit(1).collect()
-    if too_big:
-        raise ValueError(f"{too_big[0]['path']} is too large for a report; use the mapping table")
+    if max_bytes is not None:
+        listing = spark.read.format("binaryFile").load(path).select("path", "length")
+        too_big = listing.where(F.col("length") > max_bytes).select("path").limit(1).collect()
+        if too_big:
+            raise ValueError(f"{too_big[0]['path']} is too large for a report; use the mapping table")
     blobs = spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("file"),
         F.from_json("value", "mapping map<string, variant>")["mapping"].alias("mapping"),

@@ -5,20 +5,15 @@ All "first" rules go by ``ord``, a unique 64-bit number that rises in corpus ord
 
 from __future__ import annotations
 
-import re
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from notewright.functions.fields import json_path
+from notewright.session import scratch_path, settle, shuffle_partitions
 
+# A rank and a row's place share one number: this many rows in a Parquet file, or in a task of a JSON scan.
 ROWS_PER_FILE = 1 << 40
-
-# The ranks of the files are broadcast, one small row each, so their number is limited.
-MOST_RANKED_FILES = 100_000
-
-# Spark writes the scheme of a local path with one slash or with three.
-LOCAL_SCHEME = "^file:/+"
+ROWS_PER_TASK = 1 << 33
 
 
 def read_notes(
@@ -28,19 +23,18 @@ def read_notes(
     """``(ord, id, note)``, with ``other_id`` too where the corpus has a column ``id`` besides ``id_col``.
 
     A note that is missing altogether is an empty note; an explicit null, or a value that is no string,
-    is null. ``order_by`` names a unique number to go by; else Parquet rows go by file name and position.
-    JSON rows, and Parquet rows in very many files, go by their place in the scan, which holds as long as
-    the files and the split settings stay as they are.
+    is null. ``order_by`` names a unique number to go by; else rows go by file name and place in the file.
+    For that the files are ranked first, which is a job over file names alone; the numbers of JSON rows hold
+    as long as the files and the split settings stay as they are, their order always.
     """
     if fmt == "json":
-        rows = _json_rows(spark, path)
+        rows = _with_json_ordinal(_json_rows(spark, path), order_by)
         note = _json_text(note_col)
         ident, other = _json_scalar(id_col), _json_scalar("id")
         extra = [other.alias("other_id")] if id_col != "id" else []
-        ordinal = _json_ordinal(order_by)
         missing = F.try_variant_get("v", json_path(note_col), "variant").isNull()
         note = F.when(missing, F.lit("")).otherwise(note)
-        return rows.select(ordinal.alias("ord"), ident.alias("id"), note.alias("note"), *extra)
+        return rows.select(F.col("_ord").alias("ord"), ident.alias("id"), note.alias("note"), *extra)
     rows = spark.read.format(fmt).load(path)
     return _with_ordinal(rows, fmt, order_by).select(
         F.col("_ord").alias("ord"),
@@ -75,9 +69,9 @@ def read_bank(
 ) -> DataFrame:
     """``(ord, idx_raw, question)``. A missing column, or a question that is no string, gives null."""
     if fmt == "json":
-        rows = _json_rows(spark, path)
+        rows = _with_json_ordinal(_json_rows(spark, path), order_by)
         return rows.select(
-            _json_ordinal(order_by).alias("ord"),
+            F.col("_ord").alias("ord"),
             # A number or text that holds a whole number; 3.7 counts as 3 but "3.7" does not.
             F.try_variant_get("v", json_path(index_col), "bigint").cast("string").alias("idx_raw"),
             _json_text(question_col).alias("question"),
@@ -92,26 +86,50 @@ def read_bank(
     )
 
 
+def ranked(places: DataFrame) -> DataFrame:
+    """``places`` with ``_rank``: how many rows come before each in the order of all columns.
+
+    The rows are dealt out by ranges and counted there; only the counts of the ranges, one row a shuffle
+    partition, meet in one place. The result is on shared storage, so ranks do not change later.
+    """
+    spark = places.sparkSession
+    columns = places.columns
+    parts = places.repartitionByRange(shuffle_partitions(spark), *columns).sortWithinPartitions(*columns)
+    numbered = parts.select(
+        "*", F.spark_partition_id().alias("_part"),
+        F.monotonically_increasing_id().bitwiseAND(F.lit(ROWS_PER_TASK - 1)).alias("_at"),
+    )
+    numbered = settle(numbered, scratch_path(spark, "ranks"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = numbered.groupBy("_part").agg(F.count("*").alias("_n")).select(
+        "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")
+    )
+    found = numbered.join(F.broadcast(starts), "_part")
+    return found.select(*columns, (F.col("_start") + F.col("_at")).alias("_rank"))
+
+
 def _with_ordinal(rows: DataFrame, fmt: str, order_by: str | None) -> DataFrame:
     if order_by:
         return rows.withColumn("_ord", F.col(order_by).cast("bigint"))
-    names = sorted(rows.inputFiles()) if fmt == "parquet" else []
-    if not 1 <= len(names) <= MOST_RANKED_FILES:
-        return rows.withColumn("_ord", F.monotonically_increasing_id())
-    if len(names) == 1:
-        return rows.withColumn("_ord", F.col("_metadata.row_index"))
-    ranks = rows.sparkSession.createDataFrame(
-        [(rank, re.sub(LOCAL_SCHEME, "file:/", name)) for rank, name in enumerate(names)],
-        "_rank bigint, _file string",
-    )
-    placed = rows.select(
-        "*",
-        F.regexp_replace("_metadata.file_path", LOCAL_SCHEME, "file:/").alias("_file"),
-        F.col("_metadata.row_index").alias("_row"),
-    )
-    ranked = placed.join(F.broadcast(ranks), "_file", "left")
-    place = F.coalesce("_rank", F.raise_error(F.concat(F.lit("file not listed: "), "_file")))
-    return ranked.withColumn("_ord", place * F.lit(ROWS_PER_FILE) + F.col("_row"))
+    if fmt != "parquet":
+        raise ValueError(f"{fmt} rows have no place of their own; name a column in order_by")
+    placed = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    files = ranked(rows.select(F.col("_metadata.file_path").alias("_file")).distinct())
+    # One row a file; the planner broadcasts it where it is small.
+    return placed.join(files, "_file", "left").withColumn("_ord", F.col("_rank") * F.lit(ROWS_PER_FILE) + F.col("_row"))
+
+
+def _with_json_ordinal(rows: DataFrame, order_by: str | None) -> DataFrame:
+    """Splits are ranked by file and start. A split lies in one task, and in order."""
+    if order_by is not None:
+        return rows.withColumn("_ord", F.try_variant_get("v", json_path(order_by), "bigint"))
+    split = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_split")]
+    at = F.monotonically_increasing_id().bitwiseAND(F.lit(ROWS_PER_TASK - 1)).alias("_at")
+    # The reader must not be asked for no column but these, so the rows are counted too.
+    splits = rows.groupBy(*split).agg(F.count("v").alias("_n")).where("_n >= 0").drop("_n")
+    splits = ranked(splits)
+    placed = rows.select("*", *split, at).join(splits, ["_file", "_split"], "left")
+    return placed.withColumn("_ord", F.col("_rank") * F.lit(ROWS_PER_TASK) + F.col("_at"))
 
 
 def _has_other_id(rows: DataFrame, id_col: str) -> bool:
@@ -134,12 +152,6 @@ def _json_rows(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("singleVariantColumn", "v").json(path)
 
 
-def _json_ordinal(order_by: str | None) -> Column:
-    if order_by is None:
-        return F.monotonically_increasing_id()
-    return F.try_variant_get("v", json_path(order_by), "bigint")
-
-
 def _json_scalar(name: str) -> Column:
     return F.try_variant_get("v", json_path(name), "string")
 

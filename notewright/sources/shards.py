@@ -58,7 +58,7 @@ def write_record_lines(
 def record_line(columns: list[str]) -> Column:
     head = ["id", "patient_note", "source"]
     tail = [c for c in ("extraction_ok", "created_at") if c in columns]
-    fields = [c for c in columns if c not in {*head, *tail, "model_output_raw"}]
+    fields = [c for c in columns if c not in {*head, *tail, "model_output_raw", "shard"}]
     options = {"ignoreNullFields": "false"}
     good = F.to_json(F.struct(*head, *fields, *tail), options)
     failed = F.to_json(
@@ -73,7 +73,8 @@ def read_jsonl(
 ) -> DataFrame:
     """All shards of a folder as one table; raises where the folder or the shards are missing."""
     df = spark.read.schema(schema).option("pathGlobFilter", files).json(path)
-    if not df.inputFiles():
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", files)
+    if listing.load(path).select("path").isEmpty():
         raise FileNotFoundError(f"no JSON lines files in {path}")
     return df
 

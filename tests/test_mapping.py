@@ -140,3 +140,46 @@ def test_report_is_kept_unless_forced(spark, tmp_path):
     assert read() == [("usmle-2", 5)]
     for part in REPORT_PARTS:
         spark.read.parquet(f"{path}/{part}").count()
+
+
+def test_any_family_number_is_counted(spark):
+    big = str(2**63 - 1)
+    notes = [(0, f"usmle-{big}", "a"), (1, "usmle-" + "9" * 30, "b"), (2, "usmle-" + "9" * 60, "c"), (3, "usmle-7", "d")]
+    bank = [(0, "-5", "a"), (1, "1", "b"), (2, "1", "c"), (3, "3", "d")]
+    tables = map_notes(spark.createDataFrame(notes, NOTES), spark.createDataFrame(bank, BANK))
+    shifts = {r["shift"]: r["n"] for r in tables.shift_histogram.collect()}
+    assert shifts == {2**63 + 4: 1, int("9" * 30) - 1: 1, None: 1, 4: 1}
+    summary = tables.summary.first()
+    assert summary["matched"] == 4 and summary["shift"] is None
+
+
+def test_a_shift_that_all_matches_share(spark):
+    notes = [(k, f"usmle-{k + 11}", f"text {k}") for k in range(20)]
+    bank = [(k, str(k), f"text {k}") for k in range(20)]
+    tables = map_notes(spark.createDataFrame(notes, NOTES), spark.createDataFrame(bank, BANK))
+    assert tables.summary.first()["shift"] == 11
+
+
+def test_one_id_with_two_texts_has_the_last_match(spark):
+    notes = [(0, "usmle-1", "a"), (1, "usmle-1", "b"), (2, "usmle-2", "c")]
+    bank = [(0, "10", "a"), (1, "20", "b"), (2, "30", "c")]
+    tables = map_notes(spark.createDataFrame(notes, NOTES), spark.createDataFrame(bank, BANK))
+    assert {r["id"]: r["row"] for r in tables.mapping.collect()} == {"usmle-1": 20, "usmle-2": 30}
+
+
+def test_a_forced_run_that_fails_leaves_no_whole_report(spark, tmp_path, monkeypatch):
+    notes = spark.createDataFrame([(0, "usmle-5", "a")], NOTES)
+    bank = spark.createDataFrame([(0, "1", "a")], BANK)
+    path = str(tmp_path / "report")
+    assert run_mapping(notes, bank, path)
+    assert not run_mapping(notes, bank, path)
+    other = spark.createDataFrame([(0, "2", "a")], BANK)
+    from notewright.plans import mapping as plan
+
+    monkeypatch.setattr(plan, "REPORT_PARTS", ("mapping", "no_such_part", "summary"))
+    with pytest.raises(AttributeError):
+        run_mapping(notes, other, path, force=True)
+    monkeypatch.undo()
+    assert run_mapping(notes, other, path)
+    assert spark.read.parquet(f"{path}/mapping").first()["row"] == 2
+    assert spark.read.parquet(f"{path}/summary").first()["shift"] == 3

@@ -159,3 +159,23 @@ def test_long_lists_go_on_in_further_rows(spark):
     pieces = in_pieces(df.repartition(5), "g", "v", "vs", piece=64).orderBy("piece").collect()
     assert all(len(r["vs"]) <= 64 for r in pieces)
     assert [v for r in pieces for v in r["vs"]] == [2 * i for i in range(1000)]
+
+
+@pytest.mark.parametrize("how", ["left", "left_anti"])
+def test_rows_without_a_key_are_spread_without_any_heavy_key(spark, how):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        left = spark.range(40_000).selectExpr("id AS ord", "IF(id % 10 = 0, concat('k', id), NULL) AS key")
+        right = spark.range(0, 40_000, 20).selectExpr("concat('k', id) AS key", "id AS value")
+        if how == "left_anti":
+            right = right.select("key")
+        joined = salted_join(left, right, "key", how, spread_by="ord")
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == (40_000 if how == "left" else 38_000)
+        assert max(sizes) < 2 * sum(sizes) / 16
+    finally:
+        for name in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled"):
+            spark.conf.unset(name)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")

@@ -65,3 +65,18 @@ def test_bank_from_parquet(spark, tmp_path):
     assert sorted((r["idx_raw"] for r in bank.collect()), key=str) == ["3", None]
     other = read_bank(spark, str(tmp_path / "b"), question_col="absent")
     assert bank_counts(other).first()["bank_missing_fields"] == 2
+
+
+def test_json_order_is_file_and_line(spark, tmp_path):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        sizes = {"b": 3, "a": 400, "c": 5, "d": 900}
+        for name, n in sizes.items():
+            lines = [json.dumps({"_id": f"{name}{k}", "description": "x" * (k % 90)}) for k in range(n)]
+            (tmp_path / f"{name}.jsonl").write_text("\n".join(lines) + "\n")
+        notes = read_notes(spark, str(tmp_path), fmt="json")
+        got = [r["id"] for r in notes.orderBy("ord").collect()]
+        assert got == [f"{name}{k}" for name in sorted(sizes) for k in range(sizes[name])]
+        assert notes.select("ord").distinct().count() == len(got)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
