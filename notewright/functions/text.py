@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 # covers all of them but the four separators.
 PY_SPACE = r"[\s\x1c-\x1f]"
 
-# Fixed value: the line ends of str.splitlines(). Java's \R lacks the three separators.
-LINE_BREAK = r"\R|[\x1c-\x1e]"
+# Fixed value: the line ends of str.splitlines(), where a carriage return and a line feed together count once.
+LINE_ENDS = "\n\x0b\x0c\r\x1c\x1d\x1e\x85\u2028\u2029"
 
 
 def strip(col: Column) -> Column:
@@ -23,17 +23,16 @@ def is_blank(col: Column) -> Column:
 
 def line_count(col: Column) -> Column:
     """Number of lines as ``len(s.splitlines()) or 1``: a final line end opens no new line."""
-    ends = F.right(col, F.lit(1)).rlike(LINE_BREAK).cast("int")
-    return F.size(F.split(col, LINE_BREAK)) - ends
+    breaks = F.length(col) - F.length(F.translate(col, LINE_ENDS, ""))
+    pairs = F.length(col) - F.length(F.replace(col, F.lit("\r\n"), F.lit("\n")))
+    last = F.right(col, F.lit(1))
+    ends = ((last != "") & F.contains(F.lit(LINE_ENDS), last)).cast("int")
+    return breaks - pairs + F.lit(1) - ends
 
 
 def word_count(col: Column) -> Column:
     """White-space separated words, the default stand-in for a tokenizer."""
-    space = rf"(?U){PY_SPACE}"
-    outer = F.left(col, F.lit(1)).rlike(space).cast("int") + F.right(col, F.lit(1)).rlike(
-        space
-    ).cast("int")
-    return F.when(col == "", F.lit(0)).otherwise(F.size(F.split(col, space + "+")) - outer)
+    return F.regexp_count(col, F.lit(r"(?U)[^\s\x1c-\x1f]+"))
 
 
 def to_whole_number(col: Column) -> Column:

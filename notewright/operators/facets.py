@@ -27,6 +27,14 @@ def facet_counts(records: DataFrame, facets: list[str]) -> DataFrame:
     )
 
 
+def facet_filter(records: DataFrame, wanted: dict[str, list[str]]) -> DataFrame:
+    """The records that have, for every facet of ``wanted``, at least one of its values."""
+    for facet, values in wanted.items():
+        values = [str(v) for v in values]
+        records = records.where(F.exists(_facet_values(records, facet), lambda pair: pair["value"].isin(values)))
+    return records
+
+
 def _facet_values(records: DataFrame, facet: str):
     is_list = records.schema[facet.split(".")[0]].dataType.typeName() == "array"
     values = F.col(facet) if is_list else F.array(F.col(facet))

@@ -67,11 +67,14 @@ def with_replies(
     return df.withColumn("call", call(F.col(prompt)))
 
 
-def chat_prompt(note: Column, schema: RecordSchema, make_layout: Callable | None = None) -> Column:
+def chat_prompt(
+    note: Column, schema: RecordSchema, make_layout: Callable | None = None, extra: dict | None = None
+) -> Column:
     """The prompt of a note: plain, or laid out by a model's own chat template.
 
     ``make_layout()`` is called once per partition and returns a function from ``(system, user)`` to the
-    prompt. Where it raises, for one note or at all, the plain layout is used.
+    prompt. ``extra`` are further named arguments for it; a layout that does not know them is called again
+    without. Where it raises, for one note or at all, the plain layout is used.
     """
     plain = plain_prompt(note, schema)
     if make_layout is None:
@@ -84,9 +87,17 @@ def chat_prompt(note: Column, schema: RecordSchema, make_layout: Callable | None
         except Exception:  # noqa: BLE001  a model without a template is no error
             layout = None
 
+        def call(user: str) -> str:
+            try:
+                return layout(system, user, **(extra or {}))
+            except TypeError:
+                if not extra:
+                    raise
+                return layout(system, user)
+
         def one(user: str) -> str | None:
             try:
-                return layout(system, user) if layout else None
+                return call(user) if layout else None
             except Exception:  # noqa: BLE001
                 return None
 

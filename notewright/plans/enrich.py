@@ -7,10 +7,12 @@ before generation so that nothing after it can make a note be generated twice.
 from __future__ import annotations
 
 import datetime as dt
+import json
+import uuid
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from notewright.functions.fields import RecordSchema
@@ -24,7 +26,8 @@ from notewright.operators.lookup import with_source_url
 from notewright.operators.metrics import worker_metrics
 from notewright.operators.replies import with_parsed
 from notewright.operators.resume import without_done
-from notewright.sources.shards import SHARD_SIZE, write_jsonl
+from notewright.session import path_exists, scratch_path, settle
+from notewright.sources.shards import SHARD_SIZE, write_record_lines
 
 
 @dataclass(frozen=True)
@@ -55,9 +58,9 @@ def select_notes(
 
 
 def with_prompt(
-    notes: DataFrame, schema: RecordSchema, make_layout: Callable | None = None
+    notes: DataFrame, schema: RecordSchema, make_layout: Callable | None = None, extra: dict | None = None
 ) -> DataFrame:
-    return notes.withColumn("prompt", chat_prompt(F.col("note"), schema, make_layout))
+    return notes.withColumn("prompt", chat_prompt(F.col("note"), schema, make_layout, extra))
 
 
 def records(
@@ -85,7 +88,7 @@ def records(
 def enrich(
     notes: DataFrame, schema: RecordSchema, make_generator: Callable,
     options: EnrichOptions = EnrichOptions(), lookup: DataFrame | None = None,
-    done: DataFrame | None = None, make_layout: Callable | None = None,
+    done: DataFrame | None = None, make_layout: Callable | None = None, layout_extra: dict | None = None,
     count_tokens: Callable[[Column], Column] | None = None, observation: Observation | None = None,
 ) -> DataFrame:
     """Records for all selected notes. ``observation`` collects the counters of the run."""
@@ -94,7 +97,7 @@ def enrich(
         # By size alone, few large partitions would be left, and generation takes far longer than this.
         chosen = chosen.repartition(options.generator_tasks, "ord")
     called = with_replies(
-        with_prompt(chosen, schema, make_layout), make_generator, batch_size=options.batch_size
+        with_prompt(chosen, schema, make_layout, layout_extra), make_generator, batch_size=options.batch_size
     )
     replies = called.withColumn("raw_output", F.coalesce("call.text", F.lit("")))
     keep = ("shard",) if "shard" in replies.columns else ()
@@ -123,16 +126,22 @@ def enrich(
 def run_enrichment(
     notes: DataFrame, schema: RecordSchema, make_generator: Callable, out: str, run_tag: str = "all",
     options: EnrichOptions = EnrichOptions(), done: DataFrame | None = None,
-    write: Callable[[DataFrame, str], None] | None = None, shard_size: int = SHARD_SIZE, **more,
+    write: Callable[[DataFrame, str], None] | None = None, shard_size: int = SHARD_SIZE,
+    resume: bool = False, run_id: str | None = None, **more,
 ) -> DataFrame:
-    """Write the records under ``out`` and return the one-row metrics of the run.
+    """Write the records under ``out`` and return the one-row metrics of the run, with what the run was.
+
+    Records are JSON lines of two shapes unless ``write`` says otherwise. ``resume`` leaves out the ids that are
+    in ``out`` already, be it in JSON lines or Parquet; ``done`` names them from elsewhere.
 
     The counters of the written rows come from the writing stage itself, where each task counts once
     however often it was tried. A lost executor costs only its unfinished tasks: what a task generated
     and wrote stays. What was seen and skipped is counted in a pass of its own, as a stage before a
     shuffle may run twice and would then count twice.
     """
-    write = write or (lambda df, path: write_jsonl(df, path, shard_size))
+    write = write or (lambda df, path: write_record_lines(df, path, shard_size))
+    if resume and done is None:
+        done = done_before(notes.sparkSession, out)
     counted = Observation()
     seen, skipped = _seen_and_skipped(notes, options, done)
     begin = dt.datetime.now(dt.timezone.utc)
@@ -148,7 +157,21 @@ def run_enrichment(
         "run_tag string, start_ts timestamp, end_ts timestamp, seen bigint, written bigint, "
         "skipped bigint, failed bigint, input_tokens bigint, output_tokens bigint, gen_ms bigint",
     )
-    return worker_metrics(log)
+    described = {
+        "run_id": run_id or uuid.uuid4().hex, "resume": resume, "out": out, "schema_keys": ",".join(schema.keys),
+        "options": json.dumps(asdict(options), sort_keys=True),
+    }
+    return worker_metrics(log).withColumns({name: F.lit(value) for name, value in described.items()})
+
+
+def done_before(spark: SparkSession, out: str) -> DataFrame:
+    """``(id)`` of the records under ``out``, copied to shared storage, as ``out`` is about to change."""
+    ids = spark.createDataFrame([], "id string")
+    if path_exists(spark, out):
+        for fmt, files in (("parquet", "*.parquet"), ("json", "*.{json,jsonl,txt}")):
+            stored = spark.read.schema("id string").option("pathGlobFilter", files).format(fmt).load(out).select("id")
+            ids = ids.unionByName(stored)
+    return settle(ids.dropna(), scratch_path(spark, "done"))
 
 
 def _seen_and_skipped(

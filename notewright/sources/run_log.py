@@ -11,6 +11,8 @@ WORKER_SCHEMA = """
     input_toks_per_s double, output_toks_per_s double, total_toks_per_s double,
     avg_input_toks_per_note double, avg_output_toks_per_note double
 """
+# What run_enrichment adds: which run it was, and with what.
+RUN_SCHEMA = WORKER_SCHEMA + ", run_id string, resume boolean, out string, schema_keys string, options string"
 BENCH_SCHEMA = """
     run_tag string, start_time timestamp, end_time timestamp, total_time_s double, gen_time_s double,
     notes bigint, batches bigint, input_tokens bigint, output_tokens bigint, total_tokens bigint,

@@ -288,3 +288,44 @@ def test_explode_and_facets(spark):
     assert counts == {
         ("sex", "F"): 2, ("conditions.status", "present"): 2, ("conditions.status", "negated"): 1, ("specialties", "other"): 1
     }
+
+
+def test_resume_as_one_option(spark, tmp_path):
+    for name, write in (("lines", None), ("table", write_table)):
+        out = str(tmp_path / name)
+        for n, written in ((10, 10), (25, 15), (25, 0)):
+            row = run_enrichment(notes(spark, n), example_schema(), answers, out, write=write, resume=True).first()
+            assert (row["notes_written"], row["notes_skipped"], row["resume"]) == (written, n - written, True)
+        assert row["out"] == out and row["run_id"] and '"num_shards": 1' in row["options"]
+
+
+def test_default_lines_have_two_shapes_and_no_shard(spark, tmp_path):
+    out = str(tmp_path / "out")
+    run_enrichment(notes(spark, 20), example_schema(), answers, out, options=EnrichOptions(num_shards=2))
+    lines = [json.loads(r["value"]) for r in spark.read.text(out).collect()]
+    assert len(lines) == 20 and all("shard" not in line for line in lines)
+    assert all(("model_output_raw" in line) != line["extraction_ok"] for line in lines)
+    assert all(("age" in line) == line["extraction_ok"] for line in lines)
+
+
+def test_layout_is_tried_without_extra_arguments(spark):
+    from notewright.operators.generate import chat_prompt
+
+    def knows():
+        return lambda system, user, thinking=True: f"{thinking} {user[:0]}"
+
+    def plain():
+        return lambda system, user: "plain"
+
+    df = spark.range(1).selectExpr("'n' AS note")
+    for make, want in ((knows, "False "), (plain, "plain")):
+        column = chat_prompt(F.col("note"), example_schema(), make, {"thinking": False})
+        assert df.select(column.alias("p")).first()["p"] == want
+
+
+def test_facet_filter(spark):
+    rows = [(1, "f", ["a", "b"]), (2, "m", ["b"]), (3, None, None), (4, "f", [])]
+    df = spark.createDataFrame(rows, "id bigint, sex string, tags array<string>")
+    ids = lambda wanted: sorted(r["id"] for r in facets.facet_filter(df, wanted).collect())
+    assert ids({"sex": ["f"]}) == [1, 4] and ids({"tags": ["b", "c"]}) == [1, 2]
+    assert ids({"sex": ["f"], "tags": ["b"]}) == [1] and ids({"sex": []}) == [] and ids({}) == [1, 2, 3, 4]
