@@ -17,7 +17,7 @@ def first_rows(df: DataFrame, n: int, per_shard: bool = False) -> DataFrame:
     counted by the upper 16 bits of ``ord``, a running total tells in which block the n-th row lies, and
     the next 16 bits are looked at within that block, until ``ord`` is known. So no task ever sees more
     than 65,536 counts of a shard, however ``ord`` is spread. The rows themselves are then filtered in
-    place, without a sort or a shuffle.
+    place, without a sort or a shuffle. The counting runs at once, while the plan is built.
     """
     if n <= 0:
         return df
@@ -25,7 +25,12 @@ def first_rows(df: DataFrame, n: int, per_shard: bool = False) -> DataFrame:
     slim = settle(df.select(shard, "ord"), scratch_path(df.sparkSession, "limit"))
     upto = Window.partitionBy("shard").orderBy("_block")
     rows = slim.withColumn("_need", F.lit(n))
-    for shift in range(64 - BITS, -1, -BITS):
+    low, high = slim.agg(F.min("ord"), F.max("ord")).first()
+    if low is None:
+        return df
+    # Bits that all rows share tell nothing, so the counting starts below them.
+    differing = 64 if low < 0 <= high else (low ^ high).bit_length()
+    for shift in range(max(0, -(-differing // BITS) - 1) * BITS, -1, -BITS):
         counts = (
             rows.groupBy("shard", "_need", F.shiftright("ord", shift).alias("_block"))
             .agg(F.count("*").alias("_n"))
