@@ -9,6 +9,8 @@ from notewright.session import shuffle_partitions
 
 # Rows without a key go into this many pieces for each shuffle partition, so that they fill the tasks evenly.
 LONE_PIECES = 64
+# The largest sketch that Spark allows.
+MOST_TRACKED = 1_000_000
 # The sketches of the tasks are merged in this many groups first, and not all in one place.
 SKETCH_GROUPS = 512
 
@@ -24,7 +26,7 @@ def heavy_keys(df: DataFrame, key: str, parts: int) -> list[tuple[int, int]]:
     miss a key near the limit. That costs balance and never changes a result.
     """
     kept = parts
-    tracked = max(4096, 16 * kept)
+    tracked = max(kept, min(max(4096, 16 * kept), MOST_TRACKED))
     hashed = df.where(F.col(key).isNotNull()).select(F.xxhash64(key).alias("h"))
     groups = hashed.groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("g")).agg(
         F.expr(f"approx_top_k(h, {kept}, {tracked})").alias("top"), F.count("*").alias("n")
