@@ -1,6 +1,7 @@
 """Quality rules: fixed base rules, and a hashed n-gram log-likelihood ratio of trusted to raw text.
 
-Everything here is DataFrame functions. Words and pairs of words are hashed to a fixed number of buckets. The raw multinomial counts every document, the trusted one the documents
+Everything here is DataFrame functions. Words and pairs of words are hashed to a fixed number of buckets. The raw
+multinomial counts every document, the trusted one the documents
 of a bounded sample of ids. A document's score is the mean over its words and pairs of
 log(p_trusted / p_raw), so it does not depend on length; it is kept at or above a fixed threshold.
 
@@ -113,6 +114,9 @@ def judged(docs: DataFrame, weights: list[int], threshold: float = THRESHOLD) ->
     n, repeat = count(F.col("_n")), F.col("_repeat")
     failed = (n < LEAST_WORDS) | (F.lit(100) * repeat > F.lit(MOST_REPEATED_PERCENT) * n)
     score = F.col("_total") / (F.lit(SCALE) * F.greatest(2 * n - 1, F.lit(1)))
+    # Always true, but not for the optimizer to know: a filter on the verdict would else be moved below all these
+    # columns, with each of them written out in it as often as the next one uses it.
+    once = F.monotonically_increasing_id() >= 0
     return rows.select("row", F.struct(
         n.alias("n_words"),
         count(F.char_length(F.array_join("_words", ""))).alias("word_chars"),
@@ -121,7 +125,7 @@ def judged(docs: DataFrame, weights: list[int], threshold: float = THRESHOLD) ->
         repeat.alias("n_repeat_words"),
         failed.alias("base_failed"),
         score.alias("score"),
-        (~failed & (score >= F.lit(threshold))).alias("kept"),
+        (~failed & (score >= F.lit(threshold)) & once).alias("kept"),
     ).alias("quality"))
 
 

@@ -83,6 +83,12 @@ def test_no_python_on_the_way(spark):
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
 
 
+def test_a_filter_on_the_verdict_does_not_repeat_the_work(spark):
+    docs, labels = table(spark, SF_DIR, "documents"), table(spark, SF_DIR, "labels")
+    plan = quality.good_documents(docs, labels)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") <= 3 and plan.count("xxhash64(") <= 4
+
+
 def test_odd_rows(spark, odd_documents, no_documents):
     labels = spark.createDataFrame([(1, 1), (1, 1), (None, 1), (5, None)], "doc_id bigint, quality int")
     got = found(quality.quality_rules(odd_documents, labels))
