@@ -42,7 +42,7 @@ from notewright.llm.base import column_rows, mixed, ready, row_batches, texts
 from notewright.llm.eliasfano import EliasFano, encode
 from notewright.session import scratch_path, settle, shuffle_partitions
 
-CHUNK_TOKENS = 2_000_000
+CHUNK_TOKENS = 1_000_000
 CHUNK_DOCS = 60_000
 CONCENTRATION = 200.0
 LEVELS = 256
