@@ -10,8 +10,9 @@ them, and the forests of all cells make the components.
 
 With ``exact_cells`` (radius 2 on 64 bits) nothing is lost: two differing bits touch at most two of six stripes, so
 a linked pair agrees on four whole stripes, and each choice of four is a cell. A cell leaves at most 22 bits free
-and so holds at most 4 million fingerprints. With ``band_cells`` (a wide fingerprint of the distinct words picks
-candidates, one of five-word shingles is linked) recall is a matter of probability and was measured; see README.
+and so holds at most 4 million fingerprints. With ``least_cells`` (cells of least hashes of the distinct five-word
+shingles) a pair of similarity J meets but for a chance of ``(1 - J**CELL_HASHES)**CELLS``, wherever in the text its
+differences are.
 
 Null text counts as empty. Texts without words have fingerprint zero and are linked like any other. Repeated rows
 are vertices of their own ids. No rows give no components.
@@ -39,7 +40,9 @@ STRIPES = (11, 11, 11, 11, 10, 10)
 RADIUS = 2
 # Of the stage that finds similar texts: five words, similarity 0.8, and the margin in standard deviations.
 SHINGLE, SIMILARITY, MARGIN = 5, 0.8, 2.0
-LINK_LANES, BAND_LANES, BAND_BITS = 4, 8, 24
+LINK_LANES = 4
+# At 0.8 a pair that meets in none of the cells is one in 30 million.
+CELLS, CELL_HASHES = 24, 3
 
 _GOLDEN = 0x9E3779B97F4A7C15
 
@@ -50,11 +53,18 @@ def shingles(words: list[bytes], size: int) -> list[bytes]:
     return [b" ".join(words[i:i + size]) for i in range(len(words) - size + 1)]
 
 
+def part_hashes(parts: list[bytes]) -> np.ndarray:
+    return np.fromiter((xxhash.xxh64_intdigest(p, SEED) for p in parts), dtype=np.uint64, count=len(parts))
+
+
 def fingerprint(parts: list[bytes], lanes: int = 1) -> np.ndarray:
     """``lanes`` numbers of 64 bits. The first is of the hashes themselves, the others of mixed hashes."""
-    if not parts:
+    return hash_fingerprint(part_hashes(parts), lanes)
+
+
+def hash_fingerprint(hashes: np.ndarray, lanes: int) -> np.ndarray:
+    if not len(hashes):
         return np.zeros(lanes, dtype=np.uint64)
-    hashes = np.fromiter((xxhash.xxh64_intdigest(p, SEED) for p in parts), dtype=np.uint64, count=len(parts))
     result = np.empty(lanes, dtype=np.uint64)
     for lane in range(lanes):
         h = mixed(hashes * np.uint64(_GOLDEN * (2 * lane + 1) % 2**64)) if lane else hashes
@@ -66,6 +76,23 @@ def fingerprint(parts: list[bytes], lanes: int = 1) -> np.ndarray:
     return result
 
 
+def shingle_set(text: str, size: int) -> np.ndarray:
+    """The sorted hashes of the distinct shingles."""
+    return np.unique(part_hashes(list(dict.fromkeys(shingles(text.encode().lower().split(), size)))))
+
+
+def least_hashes(hashes: np.ndarray) -> np.ndarray:
+    """``CELLS`` numbers, each of the least values of ``CELL_HASHES`` rehashings."""
+    factors = mixed(np.arange(1, CELLS * CELL_HASHES + 1, dtype=np.uint64) * np.uint64(_GOLDEN)) | np.uint64(1)
+    least = np.full(len(factors), 2**64 - 1, dtype=np.uint64)
+    for start in range(0, len(hashes), 4096):
+        least = np.minimum(least, (factors[:, None] * mixed(hashes[start:start + 4096])).min(axis=1))
+    total = np.arange(CELLS, dtype=np.uint64)
+    for part in least.reshape(CELLS, CELL_HASHES).T:
+        total = mixed(total + part) + np.uint64(1)
+    return total
+
+
 def packed(lanes: np.ndarray) -> bytes:
     return lanes.astype(">u8").tobytes()
 
@@ -99,13 +126,9 @@ def exact_cells(lanes: np.ndarray) -> np.ndarray:
     ], axis=1)
 
 
-def band_cells(lanes: np.ndarray) -> np.ndarray:
-    """A cell for every ``BAND_BITS`` bits in a row."""
-    bits = np.unpackbits(lanes.view(np.uint8), axis=1)
-    n = bits.shape[1] // BAND_BITS
-    bands = bits[:, :n * BAND_BITS].reshape(len(lanes), n, BAND_BITS)
-    values = bands.astype(np.uint64) @ (np.uint64(1) << np.arange(BAND_BITS, dtype=np.uint64))
-    return mixed(values * np.uint64(n) + np.arange(n, dtype=np.uint64))
+def least_cells(lanes: np.ndarray) -> np.ndarray:
+    """Of ``least_hashes``, which are cells already."""
+    return lanes
 
 
 def distances(lanes: np.ndarray, others: np.ndarray) -> np.ndarray:
@@ -239,15 +262,13 @@ def first_of_similar(docs: DataFrame, shingle: int = SHINGLE, similarity: float
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), key.alias("key"), whole_text().alias("text"))
 
     def of(text: str) -> tuple[bytes, bytes]:
-        words = text.encode().lower().split()
-        bands = fingerprint(list(dict.fromkeys(words)), BAND_LANES)
-        parts = list(dict.fromkeys(shingles(words, shingle)))
-        return packed(fingerprint(parts, LINK_LANES)), packed(bands)
+        hashes = shingle_set(text, shingle)
+        return packed(hash_fingerprint(hashes, LINK_LANES)), packed(least_hashes(hashes))
 
     rows = settle(with_fingerprints(rows, of, ["fingerprint", "bands"]), scratch_path(spark, "fingerprints"))
     vertices = rows.select("fingerprint", "bands").distinct()
     radius = similar_radius(similarity, 64 * LINK_LANES)
-    edges = link_edges(vertices, band_cells, LINK_LANES, BAND_LANES, radius)
+    edges = link_edges(vertices, least_cells, LINK_LANES, CELLS, radius)
     grouped = with_components(rows.select("doc_id", "key", "fingerprint"), edges)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "key")
     kept = grouped.groupBy("root").agg(F.min(order).alias("least")).select(F.col("least.key").alias("key"))

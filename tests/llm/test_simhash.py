@@ -131,3 +131,25 @@ def test_one_of_odd_rows_stays(odd_documents, no_documents):
     assert sorted(r["doc_id"] for r in rows) == [1, 3, 5, 7] or sorted(r["doc_id"] for r in rows) == [
         1, 3, 5, 7, 9_007_199_254_740_993]
     assert simhash.first_of_similar(no_documents).count() == 0
+
+
+def copies(rng, vocabulary, k):
+    """A text of its own words and a near copy: a tail added, the end cut off, a passage replaced, words replaced."""
+    n = rng.randrange(60, 300)
+    some = lambda m: [rng.choice(vocabulary) for _ in range(m)]
+    text, part = some(n), int(n * rng.uniform(0.05, 0.16))
+    at = rng.randrange(n - part)
+    copy = [
+        text + some(part), text[:-part], text[:at] + some(part // 2) + text[at + part // 2:],
+        [w if rng.random() > 0.015 else "other" for w in text],
+    ][k % 4]
+    return " ".join(text), " ".join(copy)
+
+
+def test_copies_of_every_kind_share_a_cell():
+    rng = random.Random(7)
+    vocabulary = [f"w{k}" for k in range(4000)]
+    for k in range(800):
+        one, two = copies(rng, vocabulary, k)
+        cells = [simhash.least_hashes(simhash.shingle_set(t, 5)) for t in (one, two)]
+        assert similarity(one, two) < 0.8 or (cells[0] == cells[1]).any()
