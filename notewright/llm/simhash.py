@@ -12,7 +12,8 @@ With ``exact_cells`` (radius 2 on 64 bits) nothing is lost: two differing bits t
 a linked pair agrees on four whole stripes, and each choice of four is a cell. A cell leaves at most 22 bits free
 and so holds at most 4 million fingerprints. With ``least_cells`` (cells of least hashes of the distinct five-word
 shingles) a pair of similarity J meets but for a chance of ``(1 - J**CELL_HASHES)**CELLS``, wherever in the text its
-differences are.
+differences are. The links within such cells only say which texts are compared; what is similar is decided by
+the shingle sets themselves.
 
 Null text counts as empty. Texts without words have fingerprint zero and are linked like any other. Repeated rows
 are vertices of their own ids. No rows give no components.
@@ -39,12 +40,20 @@ PIVOTS = 16
 STRIPES = (11, 11, 11, 11, 10, 10)
 RADIUS = 2
 # Of the stage that finds similar texts: five words, similarity 0.8, and the margin in standard deviations.
-SHINGLE, SIMILARITY, MARGIN = 5, 0.8, 2.0
+SHINGLE, SIMILARITY, MARGIN = 5, 0.8, 5.0
 LINK_LANES = 4
 # At 0.8 a pair that meets in none of the cells is one in 30 million.
 CELLS, CELL_HASHES = 24, 3
+# The largest share of differing bits at 0.8 is that of four shingles and one more: 6/16 * 1/2.
+FEW_SHINGLES = 0.1875
+# Members of a group that meet the group's first text in one piece.
+PIECE = 256
 
 _GOLDEN = 0x9E3779B97F4A7C15
+_REST_DDL = "root binary, last boolean, doc_id bigint, key binary, hashes binary"
+_REST = pa.schema([
+    ("root", pa.binary()), ("last", pa.bool_()), ("doc_id", pa.int64()), ("key", pa.binary()), ("hashes", pa.binary()),
+])
 
 
 def shingles(words: list[bytes], size: int) -> list[bytes]:
@@ -81,6 +90,12 @@ def shingle_set(text: str, size: int) -> np.ndarray:
     return np.unique(part_hashes(list(dict.fromkeys(shingles(text.encode().lower().split(), size)))))
 
 
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    """Of two sorted sets; two empty ones are equal."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both) if len(a) or len(b) else 1.0
+
+
 def least_hashes(hashes: np.ndarray) -> np.ndarray:
     """``CELLS`` numbers, each of the least values of ``CELL_HASHES`` rehashings."""
     factors = mixed(np.arange(1, CELLS * CELL_HASHES + 1, dtype=np.uint64) * np.uint64(_GOLDEN)) | np.uint64(1)
@@ -246,14 +261,15 @@ def simhash_components(docs: DataFrame, shingle: int = 3) -> DataFrame:
 
 def similar_radius(similarity: float, bits: int, margin: float = MARGIN) -> int:
     """The distance that texts of a Jaccard similarity keep within, but for chance beyond ``margin`` deviations."""
-    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    share = max(FEW_SHINGLES, math.acos(2 * similarity / (1 + similarity)) / math.pi)
     return math.ceil(bits * share + margin * math.sqrt(bits * share * (1 - share)))
 
 
 def first_of_similar(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of ``docs``, all columns, with one row of each group of similar texts.
+    """The rows of ``docs``, all columns, without those similar to one that stays.
 
-    The row with the smallest id stays; one without an id only where none has one, and one of equal rows.
+    Rows go by id, those without an id last, ties by text. A row stays unless one that stays before it has a
+    Jaccard similarity of ``similarity`` or more by the sets of shingles. One of equal rows stays.
     """
     spark = ready(docs.sparkSession)
     ident = F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))
@@ -261,15 +277,84 @@ def first_of_similar(docs: DataFrame, shingle: int = SHINGLE, similarity: float
     keyed = docs.select(whole_row(docs), key.alias("key"))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), key.alias("key"), whole_text().alias("text"))
 
-    def of(text: str) -> tuple[bytes, bytes]:
+    def of(text: str) -> tuple[bytes, bytes, bytes]:
         hashes = shingle_set(text, shingle)
-        return packed(hash_fingerprint(hashes, LINK_LANES)), packed(least_hashes(hashes))
+        same = xxhash.xxh3_128_digest(hashes.tobytes())
+        return packed(hash_fingerprint(hashes, LINK_LANES)), packed(least_hashes(hashes)), same
 
-    rows = settle(with_fingerprints(rows, of, ["fingerprint", "bands"]), scratch_path(spark, "fingerprints"))
-    vertices = rows.select("fingerprint", "bands").distinct()
+    prints = settle(with_fingerprints(rows, of, ["fingerprint", "bands", "same"]), scratch_path(spark, "fingerprints"))
+    # Equal sets share a fate, so the first of them stands for all.
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")
+    sets = prints.groupBy("same").agg(F.min(order).alias("ord"), F.first("fingerprint").alias("fingerprint"))
     radius = similar_radius(similarity, 64 * LINK_LANES)
+    vertices = prints.select("fingerprint", "bands").distinct()
     edges = link_edges(vertices, least_cells, LINK_LANES, CELLS, radius)
-    grouped = with_components(rows.select("doc_id", "key", "fingerprint"), edges)
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "key")
-    kept = grouped.groupBy("root").agg(F.min(order).alias("least")).select(F.col("least.key").alias("key"))
+    roots = components(edges).withColumnRenamed("vertex", "fingerprint")
+    sets = sets.join(roots, "fingerprint", "left").select("ord.*", F.coalesce("root", "fingerprint").alias("root"))
+    sets = settle(sets, scratch_path(spark, "sets"))
+    first = F.min(F.struct("last", "doc_id", "key")).alias("least")
+    groups = sets.groupBy("root").agg(first, F.count("*").alias("rows"))
+    groups = settle(groups.select("root", F.col("least.key").alias("first"), "rows"), scratch_path(spark, "groups"))
+    # The first of a group stays. What is similar to it goes; the rest is compared with each other.
+    kept = groups.select(F.col("first").alias("key"))
+    rest = settle(unlike_first(sets, groups.where("rows > 1"), rows, shingle, similarity), scratch_path(spark, "rest"))
+    kept = kept.unionByName(first_unlike(rest, similarity))
     return keyed.join(kept, "key").dropDuplicates(["key"]).select("row.*")
+
+
+def unlike_first(sets: DataFrame, groups: DataFrame, rows: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """``(root, last, doc_id, key, hashes)`` of the members that are not similar to the first of their group.
+
+    A group of any size is spread over pieces of about ``PIECE`` members, each of which meets a copy of the first.
+    """
+    spark = sets.sparkSession
+    pieces = (F.floor(F.col("members") / F.lit(PIECE)) + F.lit(1)).cast("bigint")
+    members = join_counted(sets, groups.withColumn("members", F.col("rows")), "root").where("key != first")
+    members = members.withColumn("piece", F.pmod(F.xxhash64("key"), pieces)).drop("members")
+    members = settle(members, scratch_path(spark, "members"))
+    wanted = members.select("key").unionByName(groups.select(F.col("first").alias("key")))
+    texts = rows.join(wanted, "key", "left_semi").select("key", "text")
+
+    def of(text: str) -> tuple[bytes]:
+        return (shingle_set(text, shingle).tobytes(),)
+
+    hashed = with_fingerprints(texts, of, ["hashes"]).dropDuplicates(["key"])
+    hashed = settle(hashed, scratch_path(spark, "hashes"))
+    pieces = F.explode(F.sequence(F.lit(0), F.floor(F.col("rows") / F.lit(PIECE)).cast("bigint"))).alias("piece")
+    firsts = groups.select(F.col("first").alias("key"), "rows").join(hashed, "key")
+    firsts = firsts.select(F.col("key").alias("first"), F.col("hashes").alias("first_hashes"), pieces)
+    met = members.join(hashed, "key").join(firsts, ["first", "piece"])
+
+    def unlike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = column_rows(batches, *_REST.names, "first_hashes")
+        return row_batches((
+            row[:-1] for row in rows
+            if jaccard(np.frombuffer(row[-2], np.uint64), np.frombuffer(row[-1], np.uint64)) < similarity
+        ), _REST, 256)
+
+    return met.select(*_REST.names, "first_hashes").mapInArrow(unlike, _REST_DDL)
+
+
+def first_unlike(rest: DataFrame, similarity: float) -> DataFrame:
+    """``(key)`` of the members of each group that are similar to none before them that stays."""
+    rest = rest.repartition(shuffle_partitions(rest.sparkSession), "root")
+    rest = rest.sortWithinPartitions("root", "last", "doc_id", "key")
+
+    def run(rows: Iterator[tuple]) -> Iterator[tuple]:
+        now, kept = None, []
+        for root, key, data in rows:
+            if root != now:
+                now, kept = root, []
+            hashes = np.frombuffer(data, np.uint64)
+            size = len(hashes)
+            if not any(
+                min(size, len(other)) >= similarity * max(size, len(other)) and jaccard(hashes, other) >= similarity
+                for other in kept
+            ):
+                kept.append(hashes)
+                yield (key,)
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return row_batches(run(column_rows(batches, "root", "key", "hashes")), pa.schema([("key", pa.binary())]))
+
+    return rest.mapInArrow(of, "key binary")

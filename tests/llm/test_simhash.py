@@ -153,3 +153,52 @@ def test_copies_of_every_kind_share_a_cell():
         one, two = copies(rng, vocabulary, k)
         cells = [simhash.least_hashes(simhash.shingle_set(t, 5)) for t in (one, two)]
         assert similarity(one, two) < 0.8 or (cells[0] == cells[1]).any()
+
+
+def plain_firsts(rows, least=0.8):
+    """A row stays unless it is similar to one before it that stays; all pairs that share a shingle compared."""
+    kept, by_shingle = [], defaultdict(set)
+    sets = [set(simhash.shingles(t.encode().lower().split(), 5)) for _, t in rows]
+    for k in range(len(rows)):
+        near = {j for s in sets[k] or [b""] for j in by_shingle[s]}
+        if not any(len(sets[k] & sets[j]) >= least * len(sets[k] | sets[j]) for j in near):
+            kept.append(rows[k][0])
+            for s in sets[k] or [b""]:  # texts without words are alike
+                by_shingle[s].add(k)
+    return kept
+
+
+def test_copies_of_every_kind_meet(spark):
+    rng = random.Random(11)
+    vocabulary = [f"w{k}" for k in range(4000)]
+    rows = []
+    for k in range(600):
+        for text in copies(rng, vocabulary, k):
+            rows.append((len(rows), text))
+    pairs = [similarity(rows[2 * k][1], rows[2 * k + 1][1]) for k in range(600)]
+    assert all(sum(p >= 0.8 for p in pairs[kind::4]) > 40 for kind in range(4)) and min(pairs) < 0.8
+    got = simhash.first_of_similar(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted(r["doc_id"] for r in got.collect()) == plain_firsts(rows)
+
+
+def test_what_stays_is_as_by_all_pairs(spark):
+    rng = random.Random(12)
+    some = lambda n: [rng.choice("abcdefghijklmnop") * 3 + str(rng.randrange(90)) for _ in range(n)]
+    rows, chain = [], some(120)
+    for _ in range(40):  # each like the last one, the ends unlike
+        chain = chain[6:] + some(6)
+        rows.append(chain)
+    family = some(150)
+    rows += [family + some(rng.randrange(40)) for _ in range(600)]  # some below the similarity, more than a piece
+    rows += [family[:k] for k in range(4, 12)] + [family[:3], family[:3]]
+    rng.shuffle(rows)
+    rows = [(k, " ".join(words)) for k, words in enumerate(rows)]
+    got = simhash.first_of_similar(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted(r["doc_id"] for r in got.collect()) == plain_firsts(rows)
+
+
+def test_whole_documents_stay_as_by_all_pairs(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text")
+    rows = sorted((r["doc_id"], r["text"] or "") for r in docs.collect())
+    got = sorted(r["doc_id"] for r in simhash.first_of_similar(docs).collect())
+    assert got == plain_firsts(rows)
