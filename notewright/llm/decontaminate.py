@@ -1,22 +1,24 @@
 """Benchmark passages in documents, found by spaced seeds and verified with room for substituted words.
 
 A seed is the hash of the words under the ones of a fixed mask laid at some position; words under its zeros do not
-matter, so a substituted word there costs nothing. The masks below leave out single words, words four and five
-apart, scattered words and a run of three. Seeds of benchmark items and documents are joined. Each hit names a
-diagonal, on which item and document are compared word for word; the document is contaminated by the item if
+matter, so a substituted word there costs nothing. The masks follow from the rule by the pigeonhole principle: of
+a window cut into blocks, substituted words touch at most as many blocks as there are such words, and for each
+choice of untouched blocks there is a mask that keeps them. So no overlap that the rule accepts is missed. Items
+shorter than the window have masks of their own length. Seeds of benchmark items and documents are joined. Each hit
+names a diagonal, on which item and document are compared word for word; the document is contaminated by the item if
 ``SIMILARITY`` of some window of ``WINDOW`` words agree (of the whole item, where it is shorter).
 
 Before the join a document's seeds pass a filter of fixed size with the bits of all benchmark seeds. A benchmark
 of any size may be used: the filter only gets fuller, and the join decides. Equal texts are looked at once.
 
-Words are runs of letters and digits, lower case. Null or empty texts and items match nothing; an item shorter
-than a mask is matched by seeds of its whole length. Repeated rows of documents or items are found like single
+Words are runs of letters and digits, lower case. Null or empty texts and items match nothing. Repeated rows of documents or items are found like single
 ones. No rows on either side give no rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -26,11 +28,9 @@ from pyspark.sql import functions as F
 from notewright.llm.base import column_rows, mixed, ready, row_batches, whole_row, whole_text
 from notewright.session import scratch_path, settle
 
-# Fixed masks; 1 keeps a position. All begin and end with a kept one.
-MASKS = ("11011110111", "11101110111", "10110101101", "1111000111")
-SPAN = max(map(len, MASKS))
 WINDOW = 20
 SIMILARITY = 0.8
+LEAST_KEPT = 6  # words that a mask keeps, where the rule leaves so many
 FILTER_BITS = 1 << 24
 PROBES = 3
 
@@ -50,6 +50,34 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS["up"][:n], _POWERS["down"][:n]
 
 
+def substitutions(size: int, similarity: float) -> int:
+    """The words of a window of ``size`` that may differ."""
+    return max(k for k in range(size + 1) if size - k >= similarity * size)
+
+
+def masks_for(size: int, similarity: float) -> tuple[str, ...]:
+    """Masks of which one, laid somewhere in a window, keeps none of its differing words, whichever these are.
+
+    1 keeps a position; all masks begin and end with a kept one. Blocks are of equal length, the words left over
+    at the end do not count, so that choices of blocks that are alike but for their place are one mask.
+    """
+    apart = substitutions(size, similarity)
+    if not apart or apart == size:
+        return ("1" * size,) if not apart else ("1",)
+    kept = lambda n: (n - apart) * (size // n)
+    most = max(map(kept, range(apart + 1, size + 1)))
+    blocks = next(n for n in range(apart + 1, size + 1) if kept(n) >= min(LEAST_KEPT, most))
+    width = size // blocks
+    masks = {}
+    for some in combinations(range(blocks), blocks - apart):
+        masks["".join(("1" if k in some else "0") * width for k in range(blocks)).strip("0")] = None
+    return tuple(masks)
+
+
+# Of windows of whole length.
+MASKS = masks_for(WINDOW, SIMILARITY)
+
+
 def word_hashes(text: str) -> np.ndarray:
     """A 64-bit hash for each word, from running sums of a polynomial over the bytes of the text."""
     data = np.frombuffer(text.lower().encode("utf-8", "replace"), dtype=np.uint8)
@@ -73,8 +101,8 @@ def seeds(words: np.ndarray, mask: str) -> np.ndarray:
     total = np.full(n, len(mask) * 1000 + int(mask, 2), dtype=np.uint64)
     for k, kept in enumerate(mask):
         if kept == "1":
-            total = mixed(total + words[k:k + n]) + np.uint64(k + 1)
-    return total
+            total += words[k:k + n] * np.uint64(pow(_FACTOR, k + 2, 2**64))
+    return mixed(total)
 
 
 def all_seeds(words: np.ndarray, masks: tuple[str, ...]) -> tuple[np.ndarray, np.ndarray]:
@@ -101,14 +129,16 @@ def item_words(benchmark: DataFrame) -> DataFrame:
     return settle(items.withColumn("item", F.monotonically_increasing_id()), scratch_path(spark, "items"))
 
 
-def item_seeds(items: DataFrame, masks: tuple[str, ...]) -> DataFrame:
-    """``(seed, item, place)`` of every item and mask, and of whole items that are shorter than the masks."""
+def item_seeds(items: DataFrame, masks: tuple[str, ...], window: int = WINDOW,
+               similarity: float = SIMILARITY) -> DataFrame:
+    """``(seed, item, place)`` of every item: by ``masks``, or by those of its length if it is below the window."""
     schema = pa.schema([("seed", pa.int64()), ("item", pa.int64()), ("place", pa.int32())])
 
     def of(item: int, data: bytes) -> Iterator[tuple]:
         words = np.frombuffer(data, dtype=np.uint64)
-        whole = ("1" * len(words),) if 0 < len(words) < SPAN else ()
-        hashes, places = all_seeds(words, masks + whole)
+        if not len(words):
+            return iter(())
+        hashes, places = all_seeds(words, masks if len(words) >= window else masks_for(len(words), similarity))
         return zip(hashes.view(np.int64).tolist(), [item] * len(hashes), places.tolist())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,14 +210,15 @@ def best_window(item: np.ndarray, doc: np.ndarray, window: int) -> tuple[int, in
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, similarity: float = SIMILARITY,
-             masks: tuple[str, ...] = MASKS) -> tuple[DataFrame, DataFrame]:
+             masks: tuple[str, ...] | None = None) -> tuple[DataFrame, DataFrame]:
     """``(doc_id, key)`` of documents with hits, and ``(key, item_id, agreeing, window)`` of verified overlaps."""
     spark = ready(docs.sparkSession)
     items = item_words(benchmark)
-    known = item_seeds(items, masks)
-    short = items.select((F.octet_length("words") / 8).cast("int").alias("n")).where(f"n > 0 AND n < {SPAN}")
-    lengths = sorted(r["n"] for r in short.distinct().collect())  # fewer than SPAN
-    masks = masks + tuple("1" * n for n in lengths)
+    masks = masks or masks_for(window, similarity)
+    known = item_seeds(items, masks, window, similarity)
+    short = items.select((F.octet_length("words") / 8).cast("int").alias("n")).where(f"n > 0 AND n < {window}")
+    lengths = sorted(r["n"] for r in short.distinct().collect())  # fewer than the window has words
+    masks = tuple(dict.fromkeys([*masks, *(m for n in lengths for m in masks_for(n, similarity))]))
     hits = settle(documents_with_hits(docs, masks, seed_filter(known)), scratch_path(spark, "hits"))
     once = settle(hits.drop("doc_id").dropDuplicates(["key"]), scratch_path(spark, "once"))
     at = once.select("key", F.inline("hits")).withColumnRenamed("place", "here")

@@ -1,3 +1,4 @@
+import itertools
 import random
 import re
 
@@ -112,3 +113,37 @@ def test_odd_rows(spark, odd_documents, no_documents):
     assert decontaminate.without_contaminated(odd_documents, items.limit(0)).count() == 11
     assert np.unpackbits(np.frombuffer(decontaminate.seed_filter(
         decontaminate.item_seeds(decontaminate.item_words(items.limit(0)), decontaminate.MASKS)), np.uint8)).sum() == 0
+
+
+def test_masks_hit_every_accepted_pattern():
+    for size in range(1, 21):
+        apart = decontaminate.substitutions(size, 0.8)
+        assert size - apart >= 0.8 * size > size - apart - 1
+        masks = decontaminate.masks_for(size, 0.8)
+        laid = [int(m, 2) << at for m in masks for at in range(size - len(m) + 1)]
+        for some in itertools.combinations(range(size), apart):
+            gone = sum(1 << k for k in some)
+            assert any(not m & gone for m in laid), (size, some)
+
+
+def test_items_of_every_length_with_all_their_substitutions(spark):
+    rng = random.Random(4)
+    vocabulary = [f"w{k}" for k in range(5000)]
+    some = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    items = [(n, some(n)) for n in [*range(1, 24), 40]]
+    docs = []
+    for n, item in items:
+        window, at = min(n, 20), rng.randrange(max(1, n - 19))
+        for k in range(12):
+            passage = list(item)
+            apart = decontaminate.substitutions(window, 0.8) + (k == 11)
+            for place in rng.sample(range(window), apart):
+                passage[at + place] = "other"
+            if k == 10 and n < 20:  # the differing words are beyond the end
+                passage = item[:n - apart]
+            passage = [w if at <= j < at + 20 else "else" for j, w in enumerate(passage)]
+            docs.append((len(docs), " ".join(some(25) + passage + (some(25) if k != 10 else []))))
+    items = [(i, " ".join(t)) for i, t in items]
+    want = plain_overlaps(docs, items)
+    assert len(want) >= 11 * len(items)
+    assert got(*frames(spark, docs, items)) == want
