@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from notewright.llm import chat, decontaminate, lm, packing, quality, secrets, sharding, simhash, suffix, toxicity
+from notewright.llm import (
+    chat, decontaminate, lm, packing, quality, repair, secrets, sharding, simhash, suffix, toxicity,
+)
 from notewright.llm.base import fold, table
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,6 +110,11 @@ def op10_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op11_audit_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repaired(table(spark, sf_dir, "conversations"))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
