@@ -8,6 +8,7 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -92,3 +93,23 @@ def join_counted(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     marked = rows.join(F.broadcast(here.withColumn("_large", F.lit(True))), key, "left")
     rest = marked.where(F.col("_large").isNull()).select(*rows.columns).join(keys.where(~large).drop("rows"), key)
     return marked.where("_large").drop("_large").unionByName(rest)
+
+
+def bucket_count(docs: DataFrame, bucket_bytes: int, least: int, most: int = 8192) -> int:
+    """Into how many buckets to deal what is made of all texts, so that each is of ``bucket_bytes`` of text or less.
+
+    Beyond ``most`` the blocks that chunks send to buckets would be too small to be worth a row."""
+    size = docs.agg(F.sum(F.octet_length(whole_text()))).first()[0] or 0
+    return max(least, min(most, -(-size // bucket_bytes)))
+
+
+def by_bucket(bucket: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each bucket that has any with the places of its rows, which keep their order."""
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    for b in np.flatnonzero(np.diff(cuts)).tolist():
+        yield b, order[cuts[b]:cuts[b + 1]]
+
+
+def lane(word: bytes, seed: int = 0) -> int:
+    return xxhash.xxh64_intdigest(word, seed)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from notewright.llm import (
-    chat, decontaminate, lm, packing, quality, repair, secrets, sharding, simhash, suffix, toxicity,
+    chat, decontaminate, jaccard, lm, packing, quality, repair, secrets, sharding, simhash, suffix, toxicity,
 )
 from notewright.llm.base import fold, table
 
@@ -115,6 +115,11 @@ def op11_audit_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repaired(table(spark, sf_dir, "conversations"))
 
 
+@query
+def op13_adaptive_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
