@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from notewright.llm import (
-    chat, decontaminate, jaccard, lm, packing, quality, repair, secrets, sharding, simhash, suffix, toxicity,
+    chat, decontaminate, jaccard, lm, packing, phrases, quality, repair, secrets, sharding, simhash, suffix, toxicity,
 )
 from notewright.llm.base import fold, table
+from notewright.llm.oracles import OP12, OP13
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-LLM_ORACLES: dict[str, str] = {}
+LLM_ORACLES: dict[str, str] = {"op12_phrase_graph": OP12, "op13_adaptive_jaccard": OP13}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -115,6 +116,11 @@ def op11_audit_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repaired(table(spark, sf_dir, "conversations"))
 
 
+@query
+def op12_phrase_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.phrases(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_adaptive_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
