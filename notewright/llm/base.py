@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notewright.session import configure
+from notewright.session import configure, shuffle_partitions
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -105,11 +105,17 @@ def bucket_count(docs: DataFrame, bucket_bytes: int, least: int, most: int = 819
 
 def by_bucket(bucket: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
     """Each bucket that has any with the places of its rows, which keep their order."""
+    bucket = bucket.astype(np.uint16 if buckets <= 1 << 16 else np.uint32)
     order = np.argsort(bucket, kind="stable")
-    cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    cuts = np.concatenate([[0], np.cumsum(np.bincount(bucket, minlength=buckets))])
     for b in np.flatnonzero(np.diff(cuts)).tolist():
         yield b, order[cuts[b]:cuts[b + 1]]
 
 
 def lane(word: bytes, seed: int = 0) -> int:
     return xxhash.xxh64_intdigest(word, seed)
+
+
+def one_a_task(sent: DataFrame, buckets: int) -> DataFrame:
+    """The rows of each ``bucket`` in a task of their own; a hash of the number would put some together."""
+    return sent.repartitionById(max(buckets, shuffle_partitions(sent.sparkSession)), F.col("bucket"))

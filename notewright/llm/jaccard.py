@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from notewright.llm.base import (
-    bucket_count, by_bucket, column_rows, lane, mixed, ready, row_batches, texts,
+    bucket_count, by_bucket, column_rows, lane, mixed, one_a_task, ready, row_batches, texts,
 )
 from notewright.llm.components import components
 from notewright.llm.lm import by_shard, squeeze, unsqueeze
@@ -51,18 +51,15 @@ VERIFY_COST = 16.0  # of a candidate, in postings scanned
 SKETCH_BITS = 1024
 PIECE = 4096
 
-CHUNK_BYTES = 16_000_000
+CHUNK_BYTES = 8_000_000
 CHUNK_DOCS = 60_000
 BUCKET_BYTES = 32_000_000
-BATCH_ROWS = 200_000
+BATCH_ROWS = 100_000
+MOST_WORDS = 200_000  # of which a task keeps the hashes
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-DOC, BLOCK, INFO = 0, 1, 2
-SENT_DDL = "kind int, doc_id bigint, n bigint, same binary, bucket int, chunk string, block binary"
-SENT = pa.schema([
-    ("kind", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("same", pa.binary()), ("bucket", pa.int32()),
-    ("chunk", pa.string()), ("block", pa.binary()),
-])
+SENT_DDL = "bucket int, chunk string, block binary, info binary"
+SENT = pa.schema([("bucket", pa.int32()), ("chunk", pa.string()), ("block", pa.binary()), ("info", pa.binary())])
 
 
 def overlap(n: int) -> int:
@@ -91,66 +88,90 @@ class Sets:
         return np.unique(total)
 
 
+def digest(hashes: np.ndarray) -> bytes | None:
+    """Of a set; none of the empty one, which is like no other."""
+    return xxhash.xxh3_128_digest(hashes.tobytes()) if len(hashes) else None
+
+
+def digests(docs: DataFrame) -> DataFrame:
+    """``(doc_id, n_shingles, fingerprint)``: the size and the digest of each document's set."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("fingerprint", pa.binary())])
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        sets = Sets()
+        for doc_id, text in column_rows(batches, "doc_id", "text"):
+            found = sets.of(text)
+            yield doc_id, len(found), digest(found)
+            if len(sets.known) > MOST_WORDS:
+                sets = Sets()
+
+    ddl = "doc_id bigint, n_shingles bigint, fingerprint binary"
+    return docs.mapInArrow(lambda batches: row_batches(rows(batches), schema), ddl)
+
+
 def send_sets(docs: DataFrame, buckets: int) -> DataFrame:
-    """A row for each document, and the hashes of each chunk's distinct sets dealt to buckets."""
+    """The hashes of each chunk's distinct sets dealt to buckets; one row of a chunk has its sets' sizes and digests."""
 
-    def closed(held: list[tuple[int, np.ndarray, bytes]], name: str) -> Iterator[tuple]:
+    def closed(held: list[tuple[np.ndarray, bytes]], name: str) -> Iterator[tuple]:
         if not held:
             return
-        hashes = np.concatenate([h for _, h, _ in held])
-        doc = np.repeat(np.arange(len(held), dtype=np.uint16), [len(h) for _, h, _ in held])
-        order = np.argsort(hashes, kind="stable")
-        hashes, doc = hashes[order], doc[order]
-        bucket = (hashes % np.uint64(buckets)).astype(np.int64)
-        for b, at in by_bucket(bucket, buckets):
-            yield BLOCK, None, None, None, b, name, squeeze(np.diff(hashes[at], prepend=np.uint64(0)), doc[at])
-        sizes = np.array([n for n, _, _ in held], dtype=np.int64)
-        digests = np.frombuffer(b"".join(same for _, _, same in held), dtype=np.uint8)
-        yield INFO, None, None, None, None, name, squeeze(sizes, digests)
+        sizes = np.array([len(h) for h, _ in held], dtype=np.int64)
+        info = squeeze(sizes, np.frombuffer(b"".join(same for _, same in held), dtype=np.uint8))
+        hashes = np.concatenate([h for h, _ in held])
+        order = np.argsort(hashes)
+        doc = np.repeat(np.arange(len(held), dtype=np.uint16), sizes)[order]
+        hashes = hashes[order]
+        for b, at in by_bucket(hashes % np.uint64(buckets), buckets):
+            yield b, name, squeeze(np.diff(hashes[at], prepend=np.uint64(0)), doc[at]), info
+            info = None
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         task, n = TaskContext.get().partitionId(), 0
         sets, held, seen, size = Sets(), [], set(), 0
-        for doc_id, text in column_rows(batches, "doc_id", "text"):
+        for (text,) in column_rows(batches, "text"):
             found = sets.of(text)
-            same = xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None
-            yield DOC, doc_id, len(found), same, None, None, None
+            same = digest(found)
             if same is None or same in seen:
                 continue
             seen.add(same)
-            held.append((len(found), found, same))
+            held.append((found, same))
             size += len(text)
             if size >= CHUNK_BYTES or len(held) >= CHUNK_DOCS:
                 yield from closed(held, f"{task}-{n}")
                 sets, held, seen, size, n = Sets(), [], set(), 0, n + 1
         yield from closed(held, f"{task}-{n}")
 
-    return docs.mapInArrow(lambda batches: row_batches(rows(batches), SENT, 256), SENT_DDL)
+    return docs.select("text").mapInArrow(lambda batches: row_batches(rows(batches), SENT, 8), SENT_DDL)
 
 
 def shared_shingles(sent: DataFrame, buckets: int) -> DataFrame:
-    """``(chunk, block)``: back to each chunk the shingles that two sets or more have, with their counts."""
-    schema = pa.schema([("chunk", pa.string()), ("block", pa.binary())])
+    """``(chunk, block, info)``: back to each chunk the shingles that two sets or more have, with their counts."""
+    schema = pa.schema([("chunk", pa.string()), ("block", pa.binary()), ("info", pa.binary())])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        for _, group in by_shard(column_rows(batches, "bucket", "chunk", "block")):
+        for _, group in by_shard(column_rows(batches, "bucket", "chunk", "block", "info")):
             blocks = []
-            for _, name, block in group:
+            for _, name, block, info in group:
+                if info is not None:
+                    yield name, None, info
                 steps, doc = unsqueeze(block)
                 blocks.append((name, np.cumsum(steps, dtype=np.uint64), doc))
-            found, counts = np.unique(np.concatenate([b[1] for b in blocks]), return_counts=True)
-            found, counts = found[counts > 1], counts[counts > 1].astype(np.uint32)
+            every = np.sort(np.concatenate([b[1] for b in blocks]))
+            first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
+            counts = np.diff(np.append(first, len(every)))
+            found, counts = every[first[counts > 1]], counts[counts > 1].astype(np.uint32)
             if not len(found):
                 continue
             for name, hashes, doc in blocks:
                 at = np.minimum(np.searchsorted(found, hashes), len(found) - 1)
                 kept = found[at] == hashes
                 if kept.any():
-                    yield name, squeeze(doc[kept], hashes[kept], counts[at[kept]])
+                    yield name, squeeze(doc[kept], hashes[kept], counts[at[kept]]), None
 
-    blocks = sent.where(F.col("kind") == BLOCK).select("bucket", "chunk", "block")
-    blocks = blocks.repartition(buckets, "bucket").sortWithinPartitions("bucket", "chunk")
-    return blocks.mapInArrow(lambda batches: row_batches(rows(batches), schema, 8), "chunk string, block binary")
+    spread = one_a_task(sent, buckets).sortWithinPartitions("bucket", "chunk")
+    return spread.mapInArrow(
+        lambda batches: row_batches(rows(batches), schema, 8), "chunk string, block binary, info binary"
+    )
 
 
 def sketch(tokens: np.ndarray) -> np.ndarray:
@@ -179,13 +200,13 @@ SET = pa.schema([
 ])
 
 
-def possible_sets(sent: DataFrame, shared: DataFrame) -> DataFrame:
+def possible_sets(shared: DataFrame) -> DataFrame:
     """The distinct sets that share enough to have a partner: ``own`` shingles are theirs alone, ``tokens`` are the
     others in order, ``counts`` those of the longest prefix, ``wanted`` the shared prefix shingles they ask for."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for _, group in by_shard(column_rows(batches, "chunk", "block", "info")):
-            sizes, digests = next(unsqueeze(info) for _, _, info in group if info is not None)
+            sizes, names = next(unsqueeze(info) for _, _, info in group if info is not None)
             blocks = [unsqueeze(block) for _, block, _ in group if block is not None]
             if not blocks:
                 continue
@@ -199,14 +220,11 @@ def possible_sets(sent: DataFrame, shared: DataFrame) -> DataFrame:
                 if free < 0:
                     continue
                 mine, often = tokens[start:end], counts[start:end]
-                yield (digests[16 * k:16 * k + 16].tobytes(), n, n - len(mine), matches(often, free, need),
+                yield (names[16 * k:16 * k + 16].tobytes(), n, n - len(mine), matches(often, free, need),
                        mine.tobytes(), often[:free + MOST_MATCHES].tobytes(), sketch(mine).tobytes())
 
-    info = sent.where(F.col("kind") == INFO).select("chunk", F.lit(None).cast("binary").alias("block"),
-                                                    F.col("block").alias("info"))
-    both = shared.select("chunk", "block", F.lit(None).cast("binary").alias("info")).unionByName(info)
-    both = both.repartition(shuffle_partitions(sent.sparkSession), "chunk").sortWithinPartitions("chunk")
-    found = both.mapInArrow(lambda batches: row_batches(rows(batches), SET, 64), SET_DDL)
+    spread = shared.repartition(shuffle_partitions(shared.sparkSession), "chunk").sortWithinPartitions("chunk")
+    found = spread.mapInArrow(lambda batches: row_batches(rows(batches), SET, 64), SET_DDL)
     return found.dropDuplicates(["same"])
 
 
@@ -384,10 +402,11 @@ def links(sets: DataFrame) -> DataFrame:
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` of every row."""
     spark = ready(docs.sparkSession)
+    docs = texts(docs)
     buckets = bucket_count(docs, BUCKET_BYTES, shuffle_partitions(spark))
-    sent = settle(send_sets(texts(docs), buckets), scratch_path(spark, "sets"))
-    sets = settle(possible_sets(sent, shared_shingles(sent, buckets)), scratch_path(spark, "possible"))
-    rows = sent.where(F.col("kind") == DOC).select("doc_id", F.col("n").alias("n_shingles"), F.col("same").alias("fingerprint"))
+    rows = settle(digests(docs), scratch_path(spark, "digests"))
+    # Only what is sent is shuffled; the texts are read again rather than kept a second time as hashes.
+    sets = settle(possible_sets(shared_shingles(send_sets(docs, buckets), buckets)), scratch_path(spark, "possible"))
     found = with_components(rows.where("fingerprint IS NOT NULL"), links(sets))
     lone = rows.where("fingerprint IS NULL").withColumn("component_id", F.col("doc_id"))
     return found.select("doc_id", "n_shingles", "component_id").unionByName(lone.drop("fingerprint"))

@@ -2,11 +2,12 @@
 
 Nodes are three words in a row, edges four. Every place of a text sends the longest gram that begins there: an edge,
 or near the end of a piece the two or three words and the last word that are left. Chunks count these and deal
-them to buckets by hash. A bucket of edges returns their weights and what flows through the node each comes from; a
-bucket of nodes adds the grams that a piece's end cut short (the correction of the flow) and returns the same for
-pairs, and so on to single words. So only the longest grams are counted in texts and every shorter count follows
-from the graph. Each level is dealt anew by its own grams, added up before, so that a frequent word or pair has at most
-one number from each bucket.
+them to buckets by the hash of the node they leave. A bucket adds the weights of its edges, and to the flow of each node
+the grams that a piece's end cut short there (the correction). What flows through nodes goes on to pairs of
+words, and from them to single words. So only the longest grams are counted in texts and every shorter count follows
+from the graph. A node all of whose words are frequent ones could gather too many edges; its edges are dealt one by
+one, and their sums meet at the node afterwards. Any other node has a word of less than a quarter of an even share.
+Pairs and words are added up within each bucket before they are dealt anew, so each has one number a bucket at most.
 
 Nodes that one edge enters and one edge leaves, both with the node's whole flow, lie inside an unary path. They are
 contracted: the path stands for them. Of the others those that a longer phrase covers are left out as well.
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from notewright.llm.base import (
-    bucket_count, by_bucket, column_rows, join_counted, lane, mixed, ready, row_batches, whole_text,
+    bucket_count, by_bucket, column_rows, join_counted, lane, mixed, one_a_task, ready, row_batches, whole_text,
 )
 from notewright.llm.lm import by_shard, squeeze, unsqueeze
 from notewright.session import scratch_path, settle, shuffle_partitions
@@ -46,13 +47,15 @@ FIRST = 2000
 STOPS = b".,;:!?\n\v\f\r"
 SEED = 42  # of Spark's own hash of a text
 FILTER_BITS = 1 << 25
-CHUNK_BYTES = 16_000_000
+CHUNK_BYTES = 8_000_000
 BUCKET_BYTES = 32_000_000
-MOST_COUNTED = 500_000  # distinct words that a task counts before it sends them
+MOST_COUNTED = 300_000  # distinct words that a task counts before it sends them
 
 _STOPPED = bytes.maketrans(STOPS + b"\t", b"\n" * len(STOPS) + b" ")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BREAK = b"\n"
+# The level of edges and ends of pieces that are dealt by their first three words; others are a number of words.
+NODES = LONGEST + 1
 
 
 def tokens(text: str) -> list[bytes]:
@@ -126,31 +129,43 @@ SENT = pa.schema([
 ])
 
 
-def _runs(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """The order of rows by all columns, and where in it a new row begins."""
-    order = np.lexsort(columns[::-1])
-    new = np.zeros(len(order), dtype=bool)
-    new[:1] = True
-    for column in columns:
-        ordered = column[order]
-        new[1:] |= ordered[1:] != ordered[:-1]
-    return order, np.flatnonzero(new)
+def keys_of(columns: list[np.ndarray]) -> list[np.ndarray]:
+    """The columns of numbers packed into as few keys of 64 bits as hold them."""
+    width = max(1, max(int(c.max(initial=0)) for c in columns).bit_length())
+    each = max(1, 64 // width)
+    keys = []
+    for start in range(0, len(columns), each):
+        key = np.zeros(len(columns[0]), dtype=np.uint64)
+        for column in columns[start:start + each]:
+            key = (key << np.uint64(width)) | column.astype(np.uint64)
+        keys.append(key)
+    return keys
 
 
 def added(columns: list[np.ndarray], weights: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
     """The distinct rows and the sums of their weights."""
     if not len(weights):
         return columns, weights
-    order, firsts = _runs(columns)
+    keys = keys_of(columns)
+    order = np.argsort(keys[0]) if len(keys) == 1 else np.lexsort(keys[::-1])
+    new = np.zeros(len(order), dtype=bool)
+    new[0] = True
+    for key in keys:
+        key = key[order]
+        new[1:] |= key[1:] != key[:-1]
+    firsts = np.flatnonzero(new)
     return [c[order[firsts]] for c in columns], np.add.reduceat(weights[order], firsts)
 
 
-def dealt(codes: np.ndarray, columns: list[np.ndarray], weights: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes]]:
-    """Grams as blocks for buckets. ``codes`` are the words that the numbers in ``columns`` stand for."""
-    total = np.full(len(weights), len(columns), dtype=np.uint64)
-    for column in columns:
+def dealt(
+    codes: np.ndarray, columns: list[np.ndarray], weights: np.ndarray, buckets: int, by: int
+) -> Iterator[tuple[int, bytes]]:
+    """Grams as blocks for buckets, dealt by their first ``by`` words. ``codes`` are the words that the numbers in
+    ``columns`` stand for."""
+    total = np.full(len(weights), by, dtype=np.uint64)
+    for column in columns[:by]:
         total = mixed(total * _ODD + codes[column])
-    for b, at in by_bucket((total % np.uint64(buckets)).astype(np.int64), buckets):
+    for b, at in by_bucket(total % np.uint64(buckets), buckets):
         mine = [c[at] for c in columns]
         used = np.unique(np.concatenate(mine))
         kind = np.uint16 if len(used) < 1 << 16 else np.uint32
@@ -163,7 +178,7 @@ def longest_grams(codes: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
     """Distinct codes, and for each place the numbers of the words from there on; 0, the number of the break, after
     the end of its piece. ``codes`` end with a break."""
     found, ids = np.unique(codes, return_inverse=True)
-    ids = np.concatenate([ids, np.zeros(LONGEST, dtype=ids.dtype)])
+    ids = np.concatenate([ids.astype(np.int32), np.zeros(LONGEST, dtype=np.int32)])
     begun = np.flatnonzero(ids[:len(codes)])
     columns = [ids[begun]]
     for k in range(1, LONGEST):
@@ -171,18 +186,24 @@ def longest_grams(codes: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
     return found, columns
 
 
-def by_length(columns: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
+def by_level(columns: list[np.ndarray], hot: np.ndarray) -> Iterator[tuple[int, np.ndarray, int, int]]:
+    """``(level, which, words, by)``: which rows go to which level, their number of words and of those they are dealt
+    by. ``hot`` tells which numbers are frequent words."""
     length = sum((c > 0).astype(np.int8) for c in columns)
-    for level in range(1, LONGEST + 1):
-        if (length == level).any():
-            yield level, length == level
+    spread = hot[columns[0]] & hot[columns[1]] & hot[columns[2]] & (length > 2)
+    parts = [(NODES, (length > 2) & ~spread, LONGEST, LONGEST - 1), (LONGEST, (length == LONGEST) & spread, LONGEST, LONGEST),
+             (LONGEST - 1, (length == LONGEST - 1) & spread, LONGEST - 1, LONGEST - 1)]
+    parts += [(n, length == n, n, n) for n in range(1, LONGEST - 1)]
+    yield from (part for part in parts if part[1].any())
 
 
-def send_grams(docs: DataFrame, buckets: int, known: bytes, salt: str, bits: int = FILTER_BITS) -> DataFrame:
-    """The longest grams of each chunk, a block for each length and bucket."""
+def send_grams(
+    docs: DataFrame, buckets: int, known: bytes, salt: str, heavy: list[int], bits: int = FILTER_BITS
+) -> DataFrame:
+    """The longest grams of each chunk, a block for each level and bucket."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        often, start = np.frombuffer(known, np.uint8), salt.encode()
+        often, start, hot = np.frombuffer(known, np.uint8), salt.encode(), np.array(heavy, dtype=np.uint64)
         held: dict[str, list[np.ndarray]] = {}
         numbers: dict[bytes, int] = {_BREAK: 0}
         size = 0
@@ -196,10 +217,9 @@ def send_grams(docs: DataFrame, buckets: int, known: bytes, salt: str, bits: int
         def close() -> Iterator[tuple]:
             for lang, parts in held.items():
                 codes, columns = longest_grams(np.concatenate(parts))
-                for level, those in by_length(columns):
-                    some = [c[those] for c in columns[:level]]
-                    grams, weights = added(some, np.ones(len(some[0]), dtype=np.int64))
-                    for b, block in dealt(codes, grams, weights, buckets):
+                columns, weights = added(columns, np.ones(len(columns[0]), dtype=np.int64))
+                for level, those, size, by in by_level(columns, np.isin(codes, hot)):
+                    for b, block in dealt(codes, [c[those] for c in columns[:size]], weights[those], buckets, by):
                         yield level, lang, b, block, None, None
 
         for lang, text in column_rows(batches, "lang", "text"):
@@ -216,50 +236,68 @@ def send_grams(docs: DataFrame, buckets: int, known: bytes, salt: str, bits: int
     return docs.mapInArrow(lambda batches: row_batches(rows(batches), SENT, 16), SENT_DDL)
 
 
-def merged(blocks: Iterable[bytes], level: int) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
-    """Codes, grams and weights of all blocks of a bucket together."""
+def merged(blocks: Iterable[bytes], size: int) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """Codes, grams and weights of all blocks of a bucket together. Code 0 is number 0, as in the blocks."""
     parts = [unsqueeze(block) for block in blocks]
-    codes, place = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    codes, place = np.unique(np.concatenate([np.zeros(1, np.uint64), *[p[0] for p in parts]]), return_inverse=True)
+    place = place[1:].astype(np.int32)
     starts = np.cumsum([0] + [len(p[0]) for p in parts])
     columns = [np.concatenate([place[starts[k]:starts[k + 1]][p[1 + c]] for k, p in enumerate(parts)])
-               for c in range(level)]
+               for c in range(size)]
     return codes, *added(columns, np.concatenate([p[-1] for p in parts]))
 
 
-def flowed(blocks: DataFrame, level: int, buckets: int, least: int) -> DataFrame:
-    """The grams of one length with their counts, where these are ``least`` or more, and as blocks the flow through
-    the grams one word shorter that they begin with."""
+def flowed(blocks: DataFrame, now: tuple[int, ...], buckets: int, least: int) -> DataFrame:
+    """The grams of the levels of ``now`` with their counts, where these are ``least`` or more, and as blocks the
+    flow through the grams one word shorter that they begin with. Blocks of other levels are added up and dealt anew."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        for _, bucket in by_shard(column_rows(batches, "bucket", "lang", "block")):
-            for lang, group in by_shard((lang, block) for _, lang, block in bucket):
-                codes, columns, weights = merged((block for _, block in group), level)
-                many = np.flatnonzero(weights >= least)
+        for (_, level, lang), group in by_shard(
+            ((bucket, level, lang), block) for bucket, level, lang, block
+            in column_rows(batches, "bucket", "level", "lang", "block")
+        ):
+            size = min(level, LONGEST)
+            codes, columns, weights = merged((block for _, block in group), size)
+            if level not in now:
+                for b, block in dealt(codes, columns, weights, buckets, size):
+                    yield level, lang, b, block, None, None
+                continue
+            for size in range(size, LONGEST - 2 if level == NODES else size - 1, -1):
+                # Of the edges, without the pieces' ends among them.
+                many = np.flatnonzero((weights >= least) & (columns[-1] > 0))
                 words = np.stack([codes[c[many]].view(np.int64) for c in columns], axis=1).tolist()
                 for gram, n in zip(words, weights[many].tolist()):
-                    yield level, lang, None, None, gram, n
-                if level > 1:
-                    for b, block in dealt(codes, *added(columns[:-1], weights), buckets):
-                        yield level - 1, lang, b, block, None, None
-
-    spread = blocks.select("bucket", "lang", "block").repartition(buckets, "bucket")
-    spread = spread.sortWithinPartitions("bucket", "lang")
+                    yield size, lang, None, None, gram, n
+                columns, weights = added(columns[:-1], weights) if size > 1 else ([], weights[:0])
+            if columns:
+                for b, block in dealt(codes, columns, weights, buckets, size - 1):
+                    yield size - 1, lang, b, block, None, None
+
+    spread = one_a_task(blocks.select("bucket", "level", "lang", "block"), buckets)
+    spread = spread.sortWithinPartitions("bucket", "level", "lang")
     return spread.mapInArrow(lambda batches: row_batches(rows(batches), SENT, 256), SENT_DDL)
 
 
+def heavy_words(words: DataFrame, salt: str, buckets: int) -> list[int]:
+    """The codes of the words with more than a quarter of a bucket's share of all, fewer than ``4 * buckets``."""
+    plain = words.groupBy("word").agg(F.sum("n").alias("n"))
+    total = plain.agg(F.sum("n")).first()[0] or 0
+    often = plain.where(F.col("n") * (4 * buckets) > F.lit(total)).select(coded(plain, salt)).collect()
+    return [row[0] % 2**64 for row in often]
+
+
 def frequent_grams(docs: DataFrame, words: DataFrame, salt: str, least: int = LEAST) -> DataFrame:
     """``(lang, gram, n)``: all grams of one to four words that occur ``least`` times, by the hashes of their words."""
     spark = docs.sparkSession
     buckets = bucket_count(docs, BUCKET_BYTES, shuffle_partitions(spark))
-    sent = settle(send_grams(docs, buckets, frequent_filter(words, salt, least), salt), scratch_path(spark, "grams"))
-    flow, found = None, None
-    for level in range(LONGEST, 0, -1):
-        blocks = sent.where(F.col("level") == level)
-        if flow is not None:
-            blocks = blocks.unionByName(flow.where(F.col("level") == level))
-        flow = settle(flowed(blocks, level, buckets, least), scratch_path(spark, f"grams-{level}"))
-        grams = flow.where(F.col("level") == level).where("gram IS NOT NULL").select("lang", "gram", "n")
+    known = frequent_filter(words, salt, least)
+    flow = send_grams(docs, buckets, known, salt, heavy_words(words, salt, buckets))
+    found = None
+    for now in ((NODES, LONGEST), *((level,) for level in range(LONGEST - 1, 0, -1))):
+        flow = settle(flowed(flow, now, buckets, least), scratch_path(spark, "grams"))
+        grams = flow.where("gram IS NOT NULL").select("lang", "gram", "n")
         found = grams if found is None else found.unionByName(grams)
+        flow = flow.where("block IS NOT NULL")
     return found
 
 
