@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from notewright.llm.base import column_rows, mixed, ready, row_batches
+from notewright.llm.base import column_rows, mixed, one_a_task, ready, row_batches
 from notewright.llm.lm import by_shard, squeeze, unsqueeze
 from notewright.session import scratch_path, settle, shuffle_partitions
 
@@ -204,7 +204,7 @@ def shared_anchors(sent: DataFrame, buckets: int) -> DataFrame:
                 if kept.any():
                     yield chunk, squeeze(doc[kept], position[kept]), None
 
-    spread = sent.repartition(buckets, "bucket").sortWithinPartitions("bucket", "chunk")
+    spread = one_a_task(sent, buckets).sortWithinPartitions("bucket", "chunk")
     return spread.mapInArrow(lambda batches: row_batches(rows(batches), REPLY_SCHEMA, 8), REPLY)
 
 
@@ -257,9 +257,24 @@ def _anchor_of(rows: np.ndarray) -> np.ndarray:
 
 
 def _distinct(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    whole = np.ascontiguousarray(rows).view(f"V{rows.shape[1]}").ravel()
-    found, place = np.unique(whole, return_inverse=True)
-    return found.view(np.uint8).reshape(-1, rows.shape[1]), place
+    """The distinct rows and the place among them of each, by hashes; equal hashes are compared byte by byte."""
+    wide = np.zeros((len(rows), -(-rows.shape[1] // 8) * 8), dtype=np.uint8)
+    wide[:, :rows.shape[1]] = rows
+    words = wide.view(np.uint64)
+    total = np.zeros(len(rows), dtype=np.uint64)
+    for column in words.T:
+        total = mixed(total * np.uint64(0x9E3779B97F4A7C15) + column)
+    order = np.argsort(total)
+    total, words = total[order], words[order]
+    equal = (words[1:] == words[:-1]).all(axis=1)
+    if (equal != (total[1:] == total[:-1])).any():
+        whole = np.ascontiguousarray(rows).view(f"V{rows.shape[1]}").ravel()
+        found, place = np.unique(whole, return_inverse=True)
+        return found.view(np.uint8).reshape(-1, rows.shape[1]), place
+    new = np.concatenate([np.ones(min(1, len(rows)), dtype=bool), ~equal])
+    place = np.empty(len(rows), dtype=np.int64)
+    place[order] = np.cumsum(new) - 1
+    return rows[order[new]], place
 
 
 def send_surroundings(docs: DataFrame, buckets: int) -> DataFrame:
@@ -301,7 +316,7 @@ def suffix_array(around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     for have, to in ((8, 16), (16, 32), (32, LENGTH)):
         columns = WIDTH - to + 1
         rank = _refined(rank[:, :columns], rank[:, to - have:to - have + columns])
-    order = np.argsort(rank.ravel(), kind="stable")
+    order = np.argsort(rank.ravel().astype(np.uint32))
     return order, rank.reshape(rows, STARTS)
 
 
@@ -319,10 +334,9 @@ def _ranked(values: np.ndarray) -> np.ndarray:
 def _refined(rank: np.ndarray, second: np.ndarray) -> np.ndarray:
     """Ranks by both; those that one rank alone has told apart are left as they are."""
     flat = rank.ravel().copy()
-    _, place, size = np.unique(flat, return_inverse=True, return_counts=True)
-    todo = np.flatnonzero(size[place] > 1)
+    todo = np.flatnonzero(np.bincount(flat)[flat] > 1)
     old, other = flat[todo], second.ravel()[todo]
-    order = np.lexsort((other, old))
+    order = np.argsort((old.astype(np.uint64) << np.uint64(32)) | other.astype(np.uint64))
     todo, old, other = todo[order], old[order], other[order]
     if len(todo):
         new_old = np.concatenate([[True], old[1:] != old[:-1]])
@@ -419,7 +433,7 @@ def marked_starts(sent: DataFrame, buckets: int) -> DataFrame:
                 if kept.any():
                     yield chunk, squeeze(doc[kept], position[kept], bits[kept].astype(np.uint32)), None
 
-    spread = sent.repartition(buckets, "bucket").sortWithinPartitions("bucket", "chunk")
+    spread = one_a_task(sent, buckets).sortWithinPartitions("bucket", "chunk")
     return spread.mapInArrow(lambda batches: row_batches(rows(batches), REPLY_SCHEMA, 4), REPLY)
 
 
