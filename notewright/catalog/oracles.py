@@ -72,6 +72,17 @@ matched AS (
 )"""
 )
 
+# Notes that arrive as JSON lines in two folders; a note left out of its line is empty.
+ARRIVED = f"""
+lines AS (SELECT ord, id, CASE WHEN ord % 11 = 0 THEN '' ELSE note END AS note FROM notes),
+valid AS (
+  SELECT 'first' AS run_tag, * FROM lines WHERE ord % 3 = 0 AND {VALID}
+  UNION ALL SELECT 'second', * FROM lines WHERE {VALID}
+),
+fresh AS (
+  SELECT * FROM valid WHERE run_tag = 'first' OR id NOT IN (SELECT id FROM valid WHERE run_tag = 'first')
+)"""
+
 SYSTEM_PROMPT = """You extract structured fields from a clinical note.
 
 Return ONE valid JSON object and NOTHING ELSE.
@@ -421,6 +432,20 @@ ORACLES: dict[str, str] = {
         )
         SELECT ord, id, {SOURCE} AS source, age, extraction_ok FROM f LEFT JOIN lookup ON k = key""",
     ),
+    "stateful_json_runs": _with(
+        "notes",
+        f"""+{ARRIVED} SELECT id, length(note) AS n_chars, length(note) % 7 > 0 AS extraction_ok FROM fresh""",
+    ),
+    "stream_metrics": _with(
+        "notes",
+        rf"""+{ARRIVED},
+        counts AS (SELECT run_tag, count(*) AS n, count(*) FILTER (WHERE length(note) % 7 = 0) AS failed,
+                          sum(len(list_filter(string_split_regex(note, '\s+'), lambda w: w <> ''))) AS words
+                   FROM fresh GROUP BY 1),
+        came AS (SELECT run_tag, count(*) AS seen FROM valid GROUP BY 1)
+        SELECT run_tag, seen AS notes_seen, n AS notes_written, seen - n AS notes_skipped, failed AS notes_failed,
+               words::BIGINT AS input_tokens, n AS output_tokens FROM came JOIN counts USING (run_tag)""",
+    ),
     # Classes that salvage reads: 0, 1, 2, 6 with all keys but the chief complaint, 3 with age and
     # conditions, 7 with a text age and conditions that are no list, 8 empty.
     "conformance_audit": _with(

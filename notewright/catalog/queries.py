@@ -24,6 +24,7 @@ from notewright.sources import notes as note_sources
 from notewright.sources import run_log, shards
 from notewright.sources.lookup import read_lookup_report
 from notewright.streaming.incremental import start_incremental
+from notewright.streaming.stateful import read_log, start_stateful
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -505,6 +506,49 @@ def resume_two_runs(spark, sf_dir):
     return written.select("ord", "id", "source", "age", "extraction_ok")
 
 
+def _json_arrivals(spark, sf_dir):
+    """All notes as JSON lines that arrive in two folders, a third of them in both. A note of every eleventh row is
+    left out of its line altogether, and a null note is spelled out."""
+    path = scratch_path(spark, "arrivals")
+    notes = view(spark, sf_dir, "notes")
+    line = F.to_json(F.struct(F.col("id").alias("_id"), F.col("note").alias("description")), {"ignoreNullFields": "false"})
+    bare = F.to_json(F.struct(F.col("id").alias("_id")), {"ignoreNullFields": "false"})
+    lines = notes.select("ord", F.when(F.col("ord") % 11 == 0, bare).otherwise(line).alias("value"))
+    lines.where("ord % 3 = 0").select("value").write.text(f"{path}/first")
+    lines.select("value").write.text(f"{path}/second")
+    return path
+
+
+def _stateful_runs(spark, sf_dir):
+    """The two folders taken up by one run each, with checkpoints of their own."""
+    arrivals, out, log = _json_arrivals(spark, sf_dir), scratch_path(spark, "records"), scratch_path(spark, "log")
+    for folder in ("first", "second"):
+        notes = note_sources.stream_json_notes(spark, f"{arrivals}/{folder}")
+        records = lambda fresh: fresh.select(
+            "id", F.length("note").cast("bigint").alias("n_chars"), (F.length("note") % 7 > 0).alias("extraction_ok"),
+            word_count(F.col("note")).cast("bigint").alias("input_tokens"), F.lit(1).alias("output_tokens"),
+        )
+        start_stateful(
+            filters.valid_notes(notes), records, out, scratch_path(spark, "stream"), log, folder
+        ).awaitTermination()
+    return out, log
+
+
+@query
+def stateful_json_runs(spark, sf_dir):
+    out, _ = _stateful_runs(spark, sf_dir)
+    return spark.read.parquet(out).select("id", "n_chars", "extraction_ok")
+
+
+@query
+def stream_metrics(spark, sf_dir):
+    _, log = _stateful_runs(spark, sf_dir)
+    found = metrics.worker_metrics(read_log(spark, log))
+    return found.select(
+        "run_tag", "notes_seen", "notes_written", "notes_skipped", "notes_failed", "input_tokens", "output_tokens"
+    )
+
+
 # Audit and read side
 
 

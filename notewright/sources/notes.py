@@ -63,6 +63,23 @@ def stream_notes(
     )
 
 
+def stream_json_notes(
+    spark: SparkSession, path: str, id_col: str = "_id", note_col: str = "description", files_per_batch: int = 1000,
+    files: str = "*.{json,jsonl,txt}",
+) -> DataFrame:
+    """``(ord, id, note)`` of the JSON lines that arrive under ``path``, by the same rules as :func:`read_notes`.
+
+    A line is kept as a variant, so a note that is missing is an empty note and an explicit null is null. A line that
+    is no JSON has neither id nor note. ``ord`` is a number of the file and the line's text.
+    """
+    lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).option("pathGlobFilter", files).text(path)
+    place = F.xxhash64("_metadata.file_path", "value").alias("ord")
+    rows = lines.select(place, F.try_parse_json("value").alias("v"))
+    missing = F.try_variant_get("v", json_path(note_col), "variant").isNull() & F.col("v").isNotNull()
+    note = F.when(missing, F.lit("")).otherwise(_json_text(note_col))
+    return rows.select("ord", _json_scalar(id_col).alias("id"), note.alias("note"))
+
+
 def read_bank(
     spark: SparkSession, path: str, fmt: str = "parquet", index_col: str = "index",
     question_col: str = "question", order_by: str | None = None,
