@@ -432,6 +432,25 @@ ORACLES: dict[str, str] = {
         )
         SELECT ord, id, {SOURCE} AS source, age, extraction_ok FROM f LEFT JOIN lookup ON k = key""",
     ),
+    "rolled_shards": _with(
+        "notes",
+        """+worker AS (
+          SELECT *, 'data_shard_r1' AS prefix, 1 AS run FROM notes WHERE ord % 2 = 1
+          UNION ALL SELECT *, 'data_shard_r0', 1 FROM notes WHERE ord % 4 = 0
+          UNION ALL SELECT *, 'data_shard_r0', 2 FROM notes WHERE ord % 4 = 2 AND id IS NOT NULL
+            AND id NOT IN (SELECT trim(id) FROM notes WHERE (ord % 4 = 0 OR ord % 2 = 1) AND trim(id) <> '')
+          UNION ALL SELECT *, 'data_shard_r0', 2 FROM notes WHERE ord % 4 = 0 AND id IS NOT NULL
+            AND id NOT IN (SELECT trim(id) FROM notes WHERE (ord % 4 = 0 OR ord % 2 = 1) AND trim(id) <> '')
+        ), placed AS (
+          SELECT *, (row_number() OVER (PARTITION BY prefix, run ORDER BY ord) - 1) // 150 AS k FROM worker
+        ), starts AS (
+          SELECT prefix, max(k) + 1 AS start FROM placed WHERE run = 1 GROUP BY prefix
+        )
+        SELECT prefix || '_' || lpad((k + CASE WHEN run = 2 THEN start ELSE 0 END)::VARCHAR, 5, '0') AS shard,
+               count(*) AS n_records, min(ord) AS first_ord, max(ord) AS last_ord,
+               sum(length(coalesce(note, '')))::BIGINT AS n_chars, count(id) AS n_ids
+        FROM placed JOIN starts USING (prefix) GROUP BY 1""",
+    ),
     "stateful_json_runs": _with(
         "notes",
         f"""+{ARRIVED} SELECT id, length(note) AS n_chars, length(note) % 7 > 0 AS extraction_ok FROM fresh""",

@@ -23,6 +23,7 @@ from notewright.session import configure, scratch_path, settle
 from notewright.sources import notes as note_sources
 from notewright.sources import run_log, shards
 from notewright.sources.lookup import read_lookup_report
+from notewright.sources.rolling import read_rolled_ids, write_rolled
 from notewright.streaming.incremental import start_incremental
 from notewright.streaming.stateful import read_log, start_stateful
 
@@ -506,6 +507,33 @@ def resume_two_runs(spark, sf_dir):
     return written.select("ord", "id", "source", "age", "extraction_ok")
 
 
+def _rolled(spark, sf_dir):
+    """Two workers' shards of 150 records; the first worker comes twice and leaves out what is there."""
+    out, notes = scratch_path(spark, "rolled"), view(spark, sf_dir, "notes")
+    write_rolled(notes.where("ord % 4 = 0"), out, "data_shard_r0", "ord", shard_size=150)
+    write_rolled(notes.where("ord % 2 = 1"), out, "data_shard_r1", "ord", shard_size=150)
+    rest = without_done(notes.where("ord % 2 = 0 AND id IS NOT NULL"), settle(
+        read_rolled_ids(spark, out), scratch_path(spark, "ids")))
+    write_rolled(rest, out, "data_shard_r0", "ord", shard_size=150)
+    return out
+
+
+@query
+def rolled_shards(spark, sf_dir):
+    out = _rolled(spark, sf_dir)
+    rows = shards.read_jsonl(spark, out, "ord bigint, id string, note string")
+    rows = rows.select("*", F.regexp_replace("_metadata.file_name", r"\.jsonl$", "").alias("shard"))
+    ids = spark.read.text(f"{out}/_ids").select(
+        F.regexp_replace("_metadata.file_name", r"\.ids$", "").alias("shard"), "value"
+    )
+    ids = ids.groupBy("shard").agg(F.count("*").alias("n_ids"))
+    found = rows.groupBy("shard").agg(
+        F.count("*").alias("n_records"), F.min("ord").alias("first_ord"), F.max("ord").alias("last_ord"),
+        F.sum(F.coalesce(F.length("note"), F.lit(0))).alias("n_chars"),
+    )
+    return found.join(ids, "shard", "left").withColumn("n_ids", F.coalesce("n_ids", F.lit(0)))
+
+
 def _json_arrivals(spark, sf_dir):
     """All notes as JSON lines that arrive in two folders, a third of them in both. A note of every eleventh row is
     left out of its line altogether, and a null note is spelled out."""
