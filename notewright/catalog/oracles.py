@@ -432,6 +432,24 @@ ORACLES: dict[str, str] = {
         )
         SELECT ord, id, {SOURCE} AS source, age, extraction_ok FROM f LEFT JOIN lookup ON k = key""",
     ),
+    "capped_parquet": _with(
+        "notes",
+        """+sized AS (
+          SELECT ord, 8 + coalesce(strlen(id), 0) + coalesce(strlen(note), 0) AS bytes FROM notes
+        ), kinds AS (
+          SELECT *, CASE WHEN bytes * 8 <= 64000 THEN 's' WHEN bytes * 2 <= 64000 THEN 'm' ELSE 'l' END AS kind
+          FROM sized
+        ), summed AS (
+          SELECT *, sum(bytes) OVER (PARTITION BY kind ORDER BY ord) - bytes AS begun,
+                 max(bytes) OVER (PARTITION BY kind) AS most FROM kinds
+        ), binned AS (
+          SELECT *, CASE kind WHEN 's' THEN begun // (64000 - most) WHEN 'm' THEN begun // 32000 ELSE begun END AS bin
+          FROM summed
+        )
+        SELECT kind || lpad(bin::BIGINT::VARCHAR, 15, '0') AS shard, 1::BIGINT AS n_files, count(*) AS n_records,
+               sum(bytes)::BIGINT AS n_bytes, min(ord) AS first_ord, max(ord) AS last_ord, false AS above_cap
+        FROM binned GROUP BY kind, bin""",
+    ),
     "rolled_shards": _with(
         "notes",
         """+worker AS (

@@ -22,6 +22,7 @@ from notewright.plans import enrich, mapping
 from notewright.session import configure, scratch_path, settle
 from notewright.sources import notes as note_sources
 from notewright.sources import run_log, shards
+from notewright.sources.capped import export_capped
 from notewright.sources.lookup import read_lookup_report
 from notewright.sources.rolling import read_rolled_ids, write_rolled
 from notewright.streaming.incremental import start_incremental
@@ -534,6 +535,19 @@ def rolled_shards(spark, sf_dir):
     return found.join(ids, "shard", "left").withColumn("n_ids", F.coalesce("n_ids", F.lit(0)))
 
 
+@query
+def capped_parquet(spark, sf_dir):
+    """Sizes of the files of an export whose rows differ in size a thousandfold."""
+    path, notes = scratch_path(spark, "capped"), view(spark, sf_dir, "notes")
+    export_capped(notes, path, "ord", 64_000)
+    rows = spark.read.parquet(path)
+    sized = rows.select("shard", F.col("_metadata.file_name").alias("file"), "ord", shards.row_bytes(notes).alias("bytes"))
+    return sized.groupBy("shard").agg(
+        F.count_distinct("file").alias("n_files"), F.count("*").alias("n_records"), F.sum("bytes").alias("n_bytes"),
+        F.min("ord").alias("first_ord"), F.max("ord").alias("last_ord"),
+    ).withColumn("above_cap", (F.col("n_bytes") > 64_000) & (F.col("n_records") > 1))
+
+
 def _json_arrivals(spark, sf_dir):
     """All notes as JSON lines that arrive in two folders, a third of them in both. A note of every eleventh row is
     left out of its line altogether, and a null note is spelled out."""
