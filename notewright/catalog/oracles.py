@@ -203,6 +203,13 @@ PLACES = """
                               WHEN doc_id % 2 = 0 THEN 'b' ELSE 'd' END AS file FROM documents)
     CROSS JOIN (VALUES ('parquet'), ('json')) AS f(fmt)"""
 
+# Records of one value of one facet and two of another.
+WANTED = f"""
+{ANSWERS},
+f AS (SELECT ord, {_fields('0, 1, 2, 6')} FROM answers WHERE class NOT IN (4, 5, 9)),
+wanted AS (SELECT * FROM f WHERE sex = 'F' AND status IN ('present', 'maybe'))"""
+
+
 ORACLES: dict[str, str] = {
     "scan_notes_files": PLACES.format(value="doc_id::VARCHAR", name="id"),
     "scan_bank_files": PLACES.format(value="doc_id::VARCHAR", name="idx_raw"),
@@ -265,6 +272,11 @@ ORACLES: dict[str, str] = {
         f"""SELECT * FROM notes
             WHERE {VALID} AND id NOT IN (SELECT trim(line) FROM resume_log)""",
     ),
+    "resume_clustered": _with(
+        "notes resume_log",
+        f"""SELECT * FROM notes
+            WHERE {VALID} AND id NOT IN (SELECT trim(line) FROM resume_log)""",
+    ),
     "source_url": _with(
         "notes lookup_entries",
         f"""+{LOOKUP},
@@ -519,4 +531,13 @@ ORACLES: dict[str, str] = {
         UNION ALL
         SELECT 'specialties', 'other', count(*) FROM f WHERE sex IS NOT NULL HAVING count(*) > 0""",
     ),
+    "facet_filter": _with("notes", f"+{WANTED} SELECT ord FROM wanted"),
+    "facet_bitmap_filter": _with("notes", f"+{WANTED} SELECT ord FROM wanted"),
+    "facet_drill_down": _with(
+        "notes",
+        f"""+{WANTED}
+        SELECT 'sex' AS facet, sex AS value, count(*) AS n FROM wanted GROUP BY 2
+        UNION ALL SELECT 'conditions.status', status, count(*) FROM wanted GROUP BY 2
+        UNION ALL SELECT 'specialties', 'other', count(*) FROM wanted HAVING count(*) > 0""",
+    ),
 }

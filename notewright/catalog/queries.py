@@ -12,7 +12,7 @@ from notewright.catalog.fixtures import example_schema, table, view
 from notewright.functions.prompts import plain_prompt
 from notewright.functions.replies import conform, is_record
 from notewright.functions.text import line_count, text_key_hex, to_whole_number, word_count
-from notewright.operators import audit, duplicates, facets, filters, limits, matching, metrics
+from notewright.operators import audit, duplicates, facet_index, facets, filters, limits, matching, metrics
 from notewright.operators.generate import token_counter, with_replies
 from notewright.operators.lookup import lookup_table, with_source_url
 from notewright.operators.prompts import prompt_variants
@@ -23,8 +23,9 @@ from notewright.session import configure, scratch_path, settle
 from notewright.sources import notes as note_sources
 from notewright.sources import run_log, shards
 from notewright.sources.capped import export_capped
+from notewright.sources.clustered import append_clustered, without_done_clustered
 from notewright.sources.lookup import read_lookup_report
-from notewright.sources.rolling import read_rolled_ids, write_rolled
+from notewright.sources.rolling import numbered, read_rolled_ids, write_rolled
 from notewright.streaming.incremental import start_incremental
 from notewright.streaming.stateful import read_log, start_stateful
 
@@ -224,6 +225,25 @@ def resume_anti_join(spark, sf_dir):
     return without_done(filters.valid_notes(notes), done, notes.select("id"))
 
 
+def _clustered(spark, label, rows, buckets=16):
+    path = scratch_path(spark, label)
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    append_clustered(rows, name, path, buckets)
+    return name, path
+
+
+@query
+def resume_clustered(spark, sf_dir):
+    """Two appended runs of records and the notes, all clustered by id."""
+    notes = filters.valid_notes(view(spark, sf_dir, "notes"))
+    done = clean_ids(view(spark, sf_dir, "resume_log"))
+    record = lambda rows: rows.select("id", F.length("id").cast("bigint").alias("size"))
+    table_name, path = _clustered(spark, "records", record(done.where("length(id) % 2 = 0")))
+    append_clustered(record(done.where("length(id) % 2 = 1")), table_name, path, 16)
+    corpus, _ = _clustered(spark, "corpus", notes)
+    return without_done_clustered(spark.table(corpus), table_name)
+
+
 @query
 def source_url(spark, sf_dir):
     notes = view(spark, sf_dir, "notes")
@@ -615,3 +635,35 @@ def facet_counts(spark, sf_dir):
         *conform(F.col("parsed"), example_schema(), typed=True)
     )
     return facets.facet_counts(typed, ["sex", "conditions.status", "specialties"])
+
+
+FACETS = ["sex", "conditions.status", "specialties"]
+WANTED = {"sex": ["F"], "conditions.status": ["present", "maybe"]}
+
+
+def _typed_records(spark, sf_dir):
+    parsed = with_parsed(view(spark, sf_dir, "replies"), structured=False)
+    return parsed.where(is_record(F.col("parsed"))).select(
+        "ord", *conform(F.col("parsed"), example_schema(), typed=True)
+    )
+
+
+@query
+def facet_filter(spark, sf_dir):
+    return facets.facet_filter(_typed_records(spark, sf_dir), WANTED).select("ord")
+
+
+def _indexed(spark, sf_dir):
+    typed, _ = numbered(_typed_records(spark, sf_dir), "ord")
+    return typed, settle(facet_index.facet_index(typed, FACETS), scratch_path(spark, "facets"))
+
+
+@query
+def facet_bitmap_filter(spark, sf_dir):
+    typed, index = _indexed(spark, sf_dir)
+    return facet_index.matching_records(typed, facet_index.matching_bits(index, WANTED)).select("ord")
+
+
+@query
+def facet_drill_down(spark, sf_dir):
+    return facet_index.filtered_counts(_indexed(spark, sf_dir)[1], WANTED)
