@@ -79,7 +79,7 @@ CASE ord % 10
   WHEN 4 THEN j || ' and ' || j
   WHEN 5 THEN 'No fields found.'
   WHEN 6 THEN '[' || j || ']'
-  WHEN 7 THEN '{"age":"50","conditions":"not-a-list","extra":1}'
+  WHEN 7 THEN '{"age":"62","conditions":"none known","extra":1}'
   WHEN 8 THEN '{}'
   ELSE '{"age":5,"conditions":[{"name":"x"'
 END AS raw_output"""

@@ -137,7 +137,7 @@ answers AS (
 def _fields(readable: str) -> str:
     """The values of a reply, given the classes that can be read and carry the full object."""
     return f"""
-      CASE WHEN class IN ({readable}) THEN n WHEN class = 3 THEN 5 WHEN class = 7 THEN 50 END AS age,
+      CASE WHEN class IN ({readable}) THEN n WHEN class = 3 THEN 5 WHEN class = 7 THEN 62 END AS age,
       CASE WHEN class IN ({readable}) THEN g END AS sex,
       CASE WHEN class IN ({readable}) THEN lang WHEN class = 3 THEN 'x' END AS condition,
       CASE WHEN class IN ({readable}) THEN st WHEN class = 3 THEN 'present' END AS status"""
@@ -199,7 +199,7 @@ REPLICAS = _with(
 # The place of each document in four files by the remainder of its id, for either format.
 PLACES = """
     SELECT fmt, row_number() OVER (PARTITION BY fmt ORDER BY file, doc_id) - 1 AS place, {value} AS {name}
-    FROM (SELECT doc_id, CASE WHEN doc_id % 97 = 0 THEN 'a' WHEN doc_id % 97 = 1 THEN 'c'
+    FROM (SELECT doc_id, CASE WHEN doc_id IS NULL THEN 'e' WHEN doc_id % 97 = 0 THEN 'a' WHEN doc_id % 97 = 1 THEN 'c'
                               WHEN doc_id % 2 = 0 THEN 'b' ELSE 'd' END AS file FROM documents)
     CROSS JOIN (VALUES ('parquet'), ('json')) AS f(fmt)"""
 
@@ -238,7 +238,7 @@ ORACLES: dict[str, str] = {
         "answered_notes",
         f"""+{ANSWERS}
         SELECT ord, id, CAST(CASE WHEN class IN (0, 1, 2) THEN n WHEN class = 3 THEN 5
-                                  WHEN class = 7 THEN 50 END AS BIGINT) AS age,
+                                  WHEN class = 7 THEN 62 END AS BIGINT) AS age,
                class IN (0, 1, 2, 3, 7, 8) AS extraction_ok,
                CASE WHEN class IN (4, 5, 6, 9) THEN raw_output END AS model_output_raw
         FROM answered_notes JOIN answers USING (ord) WHERE {VALID}""",
@@ -465,11 +465,11 @@ ORACLES: dict[str, str] = {
     "rolled_shards": _with(
         "notes",
         """+worker AS (
-          SELECT *, 'data_shard_r1' AS prefix, 1 AS run FROM notes WHERE ord % 2 = 1
-          UNION ALL SELECT *, 'data_shard_r0', 1 FROM notes WHERE ord % 4 = 0
-          UNION ALL SELECT *, 'data_shard_r0', 2 FROM notes WHERE ord % 4 = 2 AND id IS NOT NULL
+          SELECT *, 'part_w1' AS prefix, 1 AS run FROM notes WHERE ord % 2 = 1
+          UNION ALL SELECT *, 'part_w0', 1 FROM notes WHERE ord % 4 = 0
+          UNION ALL SELECT *, 'part_w0', 2 FROM notes WHERE ord % 4 = 2 AND id IS NOT NULL
             AND id NOT IN (SELECT trim(id) FROM notes WHERE (ord % 4 = 0 OR ord % 2 = 1) AND trim(id) <> '')
-          UNION ALL SELECT *, 'data_shard_r0', 2 FROM notes WHERE ord % 4 = 0 AND id IS NOT NULL
+          UNION ALL SELECT *, 'part_w0', 2 FROM notes WHERE ord % 4 = 0 AND id IS NOT NULL
             AND id NOT IN (SELECT trim(id) FROM notes WHERE (ord % 4 = 0 OR ord % 2 = 1) AND trim(id) <> '')
         ), placed AS (
           SELECT *, (row_number() OVER (PARTITION BY prefix, run ORDER BY ord) - 1) // 150 AS k FROM worker

@@ -19,7 +19,7 @@ from notewright.operators.prompts import prompt_variants
 from notewright.operators.replies import with_parsed
 from notewright.operators.resume import clean_ids, without_done
 from notewright.plans import enrich, mapping
-from notewright.session import configure, scratch_path, settle
+from notewright.session import configure, scratch_path, settle, shuffle_partitions
 from notewright.sources import notes as note_sources
 from notewright.sources import run_log, shards
 from notewright.sources.capped import export_capped
@@ -57,13 +57,15 @@ def scan_notes(spark, sf_dir):
 
 
 def _as_files(spark, sf_dir, fmt, names):
-    """``documents`` under ``names`` in four files of very different size whose names give the order of ids."""
+    """``documents`` under ``names`` in five folders of very different size whose names give the order of ids."""
     path = scratch_path(spark, f"files-{fmt}")
     rows = table(spark, sf_dir, "documents").select(*names)
     ident = F.col("_id").cast("bigint")
     for name, where in (("a", ident % 97 == 0), ("b", (ident % 97 > 1) & (ident % 2 == 0)),
-                        ("c", ident % 97 == 1), ("d", (ident % 97 > 1) & (ident % 2 == 1))):
-        rows.where(where).repartition(1).sortWithinPartitions(ident).write.format(fmt).save(f"{path}/part={name}")
+                        ("c", ident % 97 == 1), ("d", (ident % 97 > 1) & (ident % 2 == 1)), ("e", ident.isNull())):
+        # The names of a folder's files rise with the ranges.
+        spread = rows.where(where).repartitionByRange(shuffle_partitions(spark), ident).sortWithinPartitions(ident)
+        spread.write.format(fmt).save(f"{path}/part={name}")
     return path
 
 
@@ -531,11 +533,11 @@ def resume_two_runs(spark, sf_dir):
 def _rolled(spark, sf_dir):
     """Two workers' shards of 150 records; the first worker comes twice and leaves out what is there."""
     out, notes = scratch_path(spark, "rolled"), view(spark, sf_dir, "notes")
-    write_rolled(notes.where("ord % 4 = 0"), out, "data_shard_r0", "ord", shard_size=150)
-    write_rolled(notes.where("ord % 2 = 1"), out, "data_shard_r1", "ord", shard_size=150)
+    write_rolled(notes.where("ord % 4 = 0"), out, "part_w0", "ord", shard_size=150)
+    write_rolled(notes.where("ord % 2 = 1"), out, "part_w1", "ord", shard_size=150)
     rest = without_done(notes.where("ord % 2 = 0 AND id IS NOT NULL"), settle(
         read_rolled_ids(spark, out), scratch_path(spark, "ids")))
-    write_rolled(rest, out, "data_shard_r0", "ord", shard_size=150)
+    write_rolled(rest, out, "part_w0", "ord", shard_size=150)
     return out
 
 

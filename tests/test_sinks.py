@@ -19,7 +19,7 @@ def test_jsonl_rolls_over_and_appends(spark, tmp_path):
     lines = [line for f in files for line in f.read_text().splitlines()]
     assert sorted(lines) == ['{"id":"a","v":null}', '{"id":"b","v":"ü x"}']
     shards.write_jsonl(one, str(path))
-    (path / "data_shard_r0_00000.jsonl").write_text('{"id": "c", "v": "x", "more": 1}\n')
+    (path / "w0_00000.jsonl").write_text('{"id": "c", "v": "x", "more": 1}\n')
     back = shards.read_jsonl(spark, str(path), "id string, v string")
     assert sorted(r["id"] for r in back.collect()) == ["a", "a", "b", "b", "c"]
     assert shards.describe_shards(back).first().asDict() == {"n_records": 5, "columns": "id,v"}
