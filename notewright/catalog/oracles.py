@@ -540,4 +540,17 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'conditions.status', status, count(*) FROM wanted GROUP BY 2
         UNION ALL SELECT 'specialties', 'other', count(*) FROM wanted HAVING count(*) > 0""",
     ),
+    "sketched_quantiles": _with(
+        "notes",
+        """SELECT share::DOUBLE AS share, (SELECT count(note) FROM notes) AS n, true AS within_error
+           FROM (VALUES (0.1), (0.5), (0.9)) AS v(share)""",
+    ),
+    "sketched_ids": _with("notes", "SELECT count(DISTINCT id) AS n_distinct, true AS within_error FROM notes"),
+    "sketched_values": _with(
+        "notes",
+        f"""+{ANSWERS},
+        f AS (SELECT ord, {_fields('0, 1, 2, 6')} FROM answers WHERE class NOT IN (4, 5, 9))
+        SELECT status AS value, count(*) AS n FROM f
+        WHERE status NOT IN ('present', 'negated', 'uncertain', 'historical') GROUP BY 1""",
+    ),
 }

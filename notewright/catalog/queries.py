@@ -12,7 +12,7 @@ from notewright.catalog.fixtures import example_schema, table, view
 from notewright.functions.prompts import plain_prompt
 from notewright.functions.replies import conform, is_record
 from notewright.functions.text import line_count, text_key_hex, to_whole_number, word_count
-from notewright.operators import audit, duplicates, facet_index, facets, filters, limits, matching, metrics
+from notewright.operators import audit, duplicates, facet_index, facets, filters, limits, matching, metrics, sketches
 from notewright.operators.generate import token_counter, with_replies
 from notewright.operators.lookup import lookup_table, with_source_url
 from notewright.operators.prompts import prompt_variants
@@ -669,3 +669,50 @@ def facet_bitmap_filter(spark, sf_dir):
 @query
 def facet_drill_down(spark, sf_dir):
     return facet_index.filtered_counts(_indexed(spark, sf_dir)[1], WANTED)
+
+
+def _run_sketches(spark, sf_dir):
+    """The sketches of five runs, stored; each read only its own notes."""
+    path, notes = scratch_path(spark, "sketches"), view(spark, sf_dir, "notes")
+    for k in range(5):
+        rows = notes.where(F.col("ord") % 5 == k)
+        run = sketches.sketch_run(rows, f"r{k}", {"chars": F.length("note")}, F.col("id"))
+        run.write.mode("append").parquet(path)
+    return spark.read.parquet(path), notes
+
+
+@query
+def sketched_quantiles(spark, sf_dir):
+    """Quantiles of note lengths over five runs, and whether the rank of each is within the stated error."""
+    runs, notes = _run_sketches(spark, sf_dir)
+    found = sketches.quantiles(sketches.merge_runs(runs), "chars", [0.1, 0.5, 0.9])
+    sizes = notes.select(F.length("note").alias("size")).where("size IS NOT NULL")
+    # One row a share against all sizes, for the comparison only.
+    ranks = sizes.join(F.broadcast(found)).groupBy("share", "n").agg(
+        (F.count_if(F.col("size") < F.col("value")) / F.col("n")).alias("low"),
+        (F.count_if(F.col("size") <= F.col("value")) / F.col("n")).alias("high"),
+    )
+    error = F.lit(sketches.QUANTILE_ERROR)
+    return ranks.select("share", "n", (
+        (F.col("low") - error <= F.col("share")) & (F.col("share") <= F.col("high") + error)
+    ).alias("within_error"))
+
+
+@query
+def sketched_ids(spark, sf_dir):
+    runs, notes = _run_sketches(spark, sf_dir)
+    exact = notes.agg(F.count_distinct("id").alias("n_distinct"))
+    error = F.abs(F.col("n_ids") - F.col("n_distinct")) <= sketches.DISTINCT_ERROR * F.col("n_distinct") + 1
+    return sketches.distinct_ids(sketches.merge_runs(runs)).join(exact).select("n_distinct", error.alias("within_error"))
+
+
+@query
+def sketched_values(spark, sf_dir):
+    """The most common statuses outside the closed vocabulary, over four runs."""
+    allowed = ["present", "negated", "uncertain", "historical"]
+    typed = facets.explode_list(_typed_records(spark, sf_dir), "conditions", ["ord"], outer=False)
+    path = scratch_path(spark, "values")
+    for k in range(4):
+        rows = typed.where((F.col("ord") % 4 == k) & ~F.col("status").isin(allowed))
+        sketches.value_sketch(rows, f"r{k}", F.col("status")).write.mode("append").parquet(path)
+    return sketches.common_values(spark.read.parquet(path))
