@@ -11,8 +11,11 @@ names a diagonal, on which item and document are compared word for word; the doc
 Before the join a document's seeds pass a filter of fixed size with the bits of all benchmark seeds. A benchmark
 of any size may be used: the filter only gets fuller, and the join decides. Equal texts are looked at once.
 
-Words are runs of letters and digits, lower case. Null or empty texts and items match nothing. Repeated rows of documents or items are found like single
-ones. No rows on either side give no rows.
+Words are runs of letters, their marks and digits of any script, lower case. Null or empty texts and items match
+nothing. An item of one to four words must occur whole, so an item of one word is found in every document that has the
+word. Repeated rows of documents or items are found like single ones. A text of any length is hashed by running sums in
+one pass. Columns of either table are kept in one struct, so none of their names can clash. No rows on either side
+give no rows.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +40,8 @@ PROBES = 3
 
 _FACTOR = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_FACTOR, -1, 2**64)
+# Punctuation, blanks and signs beyond ASCII end a word like those of ASCII; marks go with their letters.
+_BETWEEN = regex.compile(r"[^\x00-\x7F\p{L}\p{M}\p{N}]+")
 _IN_WORD = np.array([b >= 128 or chr(b).isalnum() for b in range(256)])
 _POWERS: dict[str, np.ndarray] = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
@@ -80,6 +86,8 @@ MASKS = masks_for(WINDOW, SIMILARITY)
 
 def word_hashes(text: str) -> np.ndarray:
     """A 64-bit hash for each word, from running sums of a polynomial over the bytes of the text."""
+    if not text.isascii():
+        text = _BETWEEN.sub(" ", text)
     data = np.frombuffer(text.lower().encode("utf-8", "replace"), dtype=np.uint8)
     inside = np.zeros(len(data) + 2, dtype=np.int8)
     inside[1:-1] = _IN_WORD[data]

@@ -11,7 +11,7 @@ SF_DIR = "/root/testdata/sf0.01"
 
 
 def words(text):
-    return re.findall(rb"[0-9a-z\x80-\xff]+", (text or "").lower().encode())
+    return [w.encode() for w in re.findall(r"[^\W_]+", (text or "").lower())]
 
 
 def plain_overlaps(docs, items):
@@ -49,6 +49,15 @@ def test_word_hashes_go_by_the_word():
     assert len(decontaminate.word_hashes(" ,. ")) == 0
 
 
+def test_signs_beyond_ascii_end_words(spark):
+    item = [f"word{k}" for k in range(22)]
+    quoted = [f"\u201c{w}\u201d" if k % 4 == 0 else w for k, w in enumerate(item)]
+    docs, items = frames(spark, [(1, " ".join(quoted)), (2, "\u2014".join(item)), (3, "\u00a0".join(item)), (4, "word1")],
+                         [(9, " ".join(item))])
+    assert got(docs, items) == {(1, 9), (2, 9), (3, 9)}
+    assert len(decontaminate.word_hashes("e\u0301te\u0301 \u2026 \u0928\u092e\u0938\u094d\u0924\u0947")) == 2
+
+
 def test_passages_with_substituted_words(spark):
     rng = random.Random(2)
     vocabulary = [f"w{k}" for k in range(3000)]
