@@ -350,7 +350,7 @@ def answer(trie: Trie, known: Totals, block: list[np.ndarray]) -> bytes:
     sums = lambda x: np.bincount(doc, weights=x)
     here = np.flatnonzero(np.bincount(doc))
     return squeeze(here.astype(np.uint16), sums(seen)[here].astype(np.uint32), sums(base)[here],
-                   sums(score)[here].astype(np.float32))
+                   sums(score)[here])
 
 
 SCORES = "doc_id bigint, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
