@@ -16,7 +16,8 @@ differences are. The links within such cells only say which texts are compared;
 the shingle sets themselves.
 
 Null text counts as empty. Texts without words have fingerprint zero and are linked like any other. Repeated rows
-are vertices of their own ids. No rows give no components.
+are vertices of their own ids. No rows give no components. A text of any length is one fingerprint, summed over blocks
+of its shingles. Columns of the table are kept in one struct, so none of their names can clash.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from itertools import chain, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from notewright.llm.base import column_rows, join_counted, mixed, ready, row_batches, whole_row, whole_text
@@ -245,18 +246,46 @@ def with_components(rows: DataFrame, edges: DataFrame) -> DataFrame:
     return join_counted(rows, settle(named, scratch_path(spark, "named")), "fingerprint")
 
 
-def simhash_components(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """``(doc_id, fingerprint, component_id)`` of every row; fingerprints of 64 bits link at 2 differing bits."""
-    spark = ready(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"))
+def linked(rows: DataFrame, shingle: int) -> DataFrame:
+    """``rows``, which have ``doc_id`` and ``text``, without ``text`` and with ``fingerprint``, ``root``, ``component_id``.
 
+    Rows of one ``root`` are one component; ``component_id`` is null where none of them has an id.
+    """
     def of(text: str) -> tuple[bytes]:
         return (packed(fingerprint(shingles(text.encode().lower().split(), shingle))),)
 
+    spark = ready(rows.sparkSession)
     rows = settle(with_fingerprints(rows, of, ["fingerprint"]), scratch_path(spark, "fingerprints"))
     vertices = rows.select("fingerprint", F.col("fingerprint").alias("bands")).distinct()
-    edges = link_edges(vertices, exact_cells, 1, 1, RADIUS)
-    return with_components(rows, edges).select("doc_id", "fingerprint", "component_id")
+    return with_components(rows, link_edges(vertices, exact_cells, 1, 1, RADIUS))
+
+
+def simhash_components(docs: DataFrame, shingle: int = 3) -> DataFrame:
+    """``(doc_id, fingerprint, component_id)`` of every row; fingerprints of 64 bits link at 2 differing bits."""
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"))
+    return linked(rows, shingle).select("doc_id", "fingerprint", "component_id")
+
+
+def row_key() -> Column:
+    """Of the id and the whole text; rows that have both in common are repeats."""
+    ident = F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))
+    return F.unhex(F.md5(F.concat(ident, F.lit("\0"), whole_text())))
+
+
+def first_of_linked(docs: DataFrame, shingle: int = 3) -> DataFrame:
+    """The rows of ``docs``, all columns, that come first in their component of :func:`simhash_components`.
+
+    Rows go by id, those without an id last, ties by text. One of equal rows stays.
+    """
+    spark = ready(docs.sparkSession)
+    rows = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), row_key().alias("key"), whole_text().alias("text"))
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")
+    firsts = linked(rows, shingle).groupBy("root").agg(F.min(order).alias("least")).select("least.key")
+    firsts = settle(firsts, scratch_path(spark, "firsts"))
+    # Repeats are counted down in each task before they are sent, so no key is hot.
+    once = docs.select(whole_row(docs), row_key().alias("key")).dropDuplicates(["key"])
+    return once.join(firsts, "key", "left_semi").select("row.*")
 
 
 def similar_radius(similarity: float, bits: int, margin: float = MARGIN) -> int:
@@ -272,8 +301,7 @@ def first_of_similar(docs: DataFrame, shingle: int = SHINGLE, similarity: float
     Jaccard similarity of ``similarity`` or more by the sets of shingles. One of equal rows stays.
     """
     spark = ready(docs.sparkSession)
-    ident = F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))
-    key = F.unhex(F.md5(F.concat(ident, F.lit("\0"), whole_text())))
+    key = row_key()
     keyed = docs.select(whole_row(docs), key.alias("key"))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), key.alias("key"), whole_text().alias("text"))
 

@@ -2,6 +2,7 @@ import corpus_pipeline
 from notewright.llm import decontaminate, packing, quality, secrets, simhash
 from notewright.llm.base import table
 from notewright.session import scratch_path, settle
+from test_simhash import plain_components
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -25,7 +26,9 @@ def test_every_stage_takes_effect(spark):
             found = quality.quality_rules(before, labels).where("quality.kept").select("row.doc_id").collect()
             assert {r[0] for r in found} == {r[0] for r in docs.select("doc_id").collect()}
         if name == "near_duplicates":
-            assert simhash.first_of_similar(docs).count() >= docs.count() - 1
+            assert simhash.first_of_linked(docs).count() == docs.count()
+            firsts = {least for _, _, least in plain_components([(r["doc_id"], r["text"]) for r in before.collect()])}
+            assert {r["doc_id"] for r in docs.collect()} == firsts
         if name == "decontamination":
             assert decontaminate.contaminated(before, items).count() > 0
             assert decontaminate.contaminated(docs, items).count() == 0

@@ -98,6 +98,22 @@ def test_odd_rows(odd_documents, no_documents):
     assert simhash.simhash_components(no_documents).count() == 0
 
 
+def test_first_of_each_component_stays(spark, odd_documents, no_documents):
+    docs = table(spark, SF_DIR, "documents")
+    copies = docs.withColumn("doc_id", docs["doc_id"] + 10_000).unionByName(docs).unionByName(docs)
+    got = simhash.first_of_linked(copies)
+    assert got.columns == docs.columns
+    want = {least for _, _, least in plain_components([tuple(r) for r in docs.select("doc_id", "text").collect()])}
+    assert sorted(r["doc_id"] for r in got.collect()) == sorted(want)
+    odd = simhash.first_of_linked(odd_documents)
+    parts = {}
+    for doc_id, bits, least in plain_components([(r["doc_id"], r["text"]) for r in odd_documents.collect()]):
+        parts.setdefault(least if least is not None else bits, doc_id)
+    assert odd.columns == odd_documents.columns
+    assert sorted(r["doc_id"] for r in odd.collect()) == sorted(k for k in parts if isinstance(k, int))
+    assert simhash.first_of_linked(no_documents).count() == 0
+
+
 def similarity(a, b):
     a, b = (set(simhash.shingles((t or "").encode().lower().split(), 5)) for t in (a, b))
     return len(a & b) / len(a | b) if a | b else 1.0
