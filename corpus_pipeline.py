@@ -23,9 +23,9 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that shares four fifths of its five-word shingles."""
+    """One document of each group whose fingerprints of three-word shingles link at two differing bits."""
     ready(spark)
-    return simhash.first_of_similar(docs)
+    return simhash.first_of_linked(docs, shingle=3)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
