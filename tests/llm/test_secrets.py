@@ -1,7 +1,11 @@
 import hashlib
+import math
 import random
 import re
 import string
+from collections import Counter
+
+import zstandard
 
 from notewright.llm import secrets
 from notewright.llm.base import table
@@ -11,6 +15,8 @@ ASSIGN = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:
 FIXED = (("assign", ASSIGN, lambda m: len(m[2]) >= 6), ("access", re.compile("AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 20),
          ("hex", re.compile("[0-9a-f]+"), lambda m: len(m[0]) >= 24))
 
+FIXED_ORDER = [kind for kind, _, _ in FIXED]
+
 
 def plain_base(text):
     found = [(m.start(), k, kind, m.end()) for k, (kind, pattern, holds) in enumerate(FIXED)
@@ -65,6 +71,104 @@ def test_incompressible_strings_in_sensitive_context_are_novel():
     assert scanner.spans(f"auth {copy}").startswith("novel") and scanner.spans(f"{copy} then key {copy}") == ""
 
 
+def draws(rng, alphabet, size):
+    return rng.choice(string.ascii_lowercase) + "".join(rng.choice(alphabet) for _ in range(size - 2)) + rng.choice(alphabet)
+
+
+def test_random_strings_of_every_alphabet_and_look_alikes():
+    rng = random.Random(3)
+    scanner = secrets.Scanner([], secrets.Letters(secrets.vocabulary_words(secrets.default_vocabulary())))
+
+    def share(make):
+        hits = 0
+        for _ in range(100):
+            key = make()
+            text = f"def connect():\n    # the session key is {key} for now\n    return client\n"
+            hits += f"novel:{text.index(key)}:{text.index(key) + len(key)}" in scanner.spans(text).split(",")
+        return hits / 100
+
+    base62 = string.ascii_letters + string.digits
+    for alphabet in (base62, string.ascii_lowercase, string.ascii_letters, string.ascii_lowercase + string.digits, base62 + "+/",
+                     base62 + "#$%^&*"):
+        for size in (16, 24, 40):
+            assert share(lambda: draws(rng, alphabet, size - 1) + "k") >= 0.9  # noqa: B023
+    assert share(lambda: ".".join(draws(rng, base62, 12) for _ in range(3))) >= 0.9
+    parts = ("user session order invoice module handlers token store client factory parse request cache index manager "
+             "service default render worker queue").split()
+    some = lambda: [rng.choice(parts) for _ in range(rng.randrange(3, 6))]
+    day = lambda: (2000 + rng.randrange(40), rng.randrange(1, 13), rng.randrange(1, 29), rng.randrange(24))
+    for make in (lambda: "_".join(some()), lambda: "_".join(some()).upper(), lambda: "src/" + "/".join(some()) + ".py",
+                 lambda: "get" + "".join(w.title() for w in some()) + "4", lambda: "%d-%02d-%02dT%02d-00" % day(),
+                 lambda: "%d%02d%02dT%02d0000Z" % day(), lambda: "v1.2." + str(rng.randrange(10**6))):
+        assert share(make) <= 0.05
+
+
+def plain_spans(text, names, words):
+    """All spans of a text, every candidate held against every base span and every sensitive word."""
+    counts = Counter()
+    for word in words:
+        edged = "^^" + word + "^"
+        counts.update(edged[k:k + 3] for k in range(len(edged) - 2))
+    pairs, firsts, seconds = Counter(), Counter(), Counter()
+    for three, n in counts.items():
+        pairs[three[1:]] += n
+        firsts[three[:2]] += n
+        seconds[three[1]] += n
+
+    def letter_bits(part):
+        edged, bits = "^^" + part.lower() + "^", 1.0
+        for a, b, c in zip(edged, edged[1:], edged[2:]):
+            share = (pairs[b + c] + 0.5) / (seconds[b] + 13.5)
+            bits -= math.log2((counts[a + b + c] + 4 * share) / (firsts[a + b] + 4))
+        return bits
+
+    def name_bits(string_):
+        string_ = re.sub(r"(?ai)(?<![a-z0-9])v?\d{1,8}(t\d{1,6}z?)?(?![a-z0-9])", "-", string_)
+        return sum(
+            letter_bits(p) if p[0].isalpha() else 3.321928094887362 * len(p) + 1 if p[0].isdigit() else 2
+            for p in re.findall(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+|[^A-Za-z0-9]", string_))
+
+    def random_bits(string_):
+        plain = {c for c in string_ if c.isalnum()}
+        sizes = [n for alphabet, n in (
+            ("0-9", 10), ("0-9a-f", 16), ("0-9A-F", 16), ("a-z", 26), ("A-Z", 26), ("a-z0-9", 36), ("A-Z0-9", 36),
+            ("A-Za-z", 52), ("A-Za-z0-9", 62)) if re.fullmatch(f"[{alphabet}]*", "".join(plain))]
+        signs = len(set(string_) - plain)
+        return len(string_) * math.log2(sizes[0] + (max(2, signs) if signs else 0))
+
+    prime = "\n".join(reversed(names)).encode()
+    known = zstandard.ZstdCompressionDict(prime, dict_type=zstandard.DICT_TYPE_RAWCONTENT) if len(prime) > 7 else None
+    size = lambda data: len(zstandard.ZstdCompressor(level=3, dict_data=known).compress(data))
+    base = [(int(s.split(":")[1]), int(s.split(":")[2]), s) for s in plain_base(text)]
+    found = [(start, FIXED_ORDER.index(s.split(":")[0]), s) for start, _, s in base]
+    for m in re.finditer(secrets.CANDIDATE, text):
+        before = text[max(0, m.start() - 48):m.start()]
+        if any(a < m.end() and b > m.start() for a, b, _ in base) or not re.search(secrets.SENSITIVE, before, re.A | re.I):
+            continue
+        bits = random_bits(m[0])
+        around = f"{text[m.end():m.end() + 512]}\n{text[max(0, m.start() - 512):m.start()]}".encode()
+        added = 8 * (size(around + m[0].encode()) - size(around))
+        if bits >= 44 and name_bits(m[0]) > bits and added >= 0.5 * bits:
+            found.append((m.start(), 3, f"novel:{m.start()}:{m.end()}"))
+    return ",".join(s for _, _, s in sorted(found))
+
+
+def test_novel_spans_of_whole_documents(spark):
+    rng = random.Random(9)
+    texts = [r["text"] or "" for r in table(spark, "/root/testdata/sf0.001", "documents").collect()]
+    base62 = string.ascii_letters + string.digits
+    for k in range(0, len(texts), 2):
+        at = rng.randrange(len(texts[k]) + 1)
+        planted = draws(rng, rng.choice([base62, string.ascii_lowercase, base62 + "+/"]), rng.randrange(8, 40))
+        texts[k] = f"{texts[k][:at]} session key {planted} or {rng.choice(['login', 'name'])} user_name_{k} {texts[k][at:]}"
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    names = secrets.identifiers(docs)
+    words = secrets.frequent_words(docs) + secrets.vocabulary_words(secrets.default_vocabulary())
+    got = {r["row"]["doc_id"]: r["spans"] for r in secrets.scanned(docs).collect()}
+    assert got == {k: plain_spans(t, names, words) for k, t in enumerate(texts)}
+    assert sum("novel" in s for s in got.values()) > len(texts) // 3
+
+
 def test_secrets_are_redacted(spark):
     docs = table(spark, "/root/testdata/sf0.01", "documents")
     got = {r["doc_id"]: r for r in secrets.without_secrets(docs).collect()}
