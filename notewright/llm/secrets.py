@@ -185,12 +185,17 @@ class Scanner:
         return 8 * added / self.letters.as_random(text[start:end])
 
     def novel(self, text: str, taken: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+        first = self.sensitive.search(text)
+        if not first:
+            return []
         found = []
         order = sorted(taken)
         starts = [start for start, _, _ in order]
         ends = list(accumulate((end for _, end, _ in order), max))
         for m in self.candidate.finditer(text):
             start, end = m.span()
+            if start < first.end():
+                continue
             before = bisect_left(starts, end)
             if before and ends[before - 1] > start:
                 continue
