@@ -145,6 +145,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def stream_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The files of a table as a stream, whether it is one file or a folder of files."""
+    # A pattern, as a stream takes a plain path for a folder.
+    return spark.readStream.schema(table(spark, sf_dir, name).schema).parquet(f"{sf_dir}/{name}.parque[t]")
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     source, stages = VIEWS[name]
     return apply_stages(table(spark, sf_dir, source), stages)

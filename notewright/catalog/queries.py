@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from notewright.catalog import fixtures
-from notewright.catalog.fixtures import example_schema, table, view
+from notewright.catalog.fixtures import example_schema, stream_table, table, view
 from notewright.functions.prompts import plain_prompt
 from notewright.functions.replies import conform, is_record
 from notewright.functions.text import line_count, text_key_hex, to_whole_number, word_count
@@ -511,16 +511,10 @@ def batch_generate(spark, sf_dir):
 @query
 def resume_two_runs(spark, sf_dir):
     out = scratch_path(spark, "records")
-    documents = table(spark, sf_dir, "documents")
     stages = fixtures.VIEWS["answered_notes"][1]
     for _ in range(2):
-        stream = (
-            spark.readStream.schema(documents.schema)
-            .option("pathGlobFilter", "documents.parquet")
-            .parquet(sf_dir)
-        )
         run = start_incremental(
-            filters.valid_notes(fixtures.apply_stages(stream, stages)),
+            filters.valid_notes(fixtures.apply_stages(stream_table(spark, sf_dir, "documents"), stages)),
             lambda notes: _records(spark, sf_dir, notes),
             out,
             scratch_path(spark, "stream"),

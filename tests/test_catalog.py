@@ -46,3 +46,11 @@ def test_query(spark, con, name):
 
 def test_entry(spark):
     assert driver.entry(spark).count() > 0
+
+
+def test_a_table_that_is_a_folder_of_files(spark, tmp_path):
+    path = f"{tmp_path}/documents.parquet"
+    spark.read.parquet(f"{SF_DIR}/documents.parquet").repartition(3).write.parquet(path)
+    found = [QUERIES["resume_two_runs"](spark, d) for d in (SF_DIR, str(tmp_path))]
+    rows = [table(df.columns, df.collect()) for df in found]
+    assert rows[0] and rows[0] == rows[1]
