@@ -1,7 +1,8 @@
 """Incremental enrichment whose memory of done ids is a state store, and whose metrics come from what is committed.
 
-Every id of the stream has one entry in the store. A micro-batch looks up and adds only its own ids, so its cost
-follows its size and not the number of records so far, which are never read again. A run with a new checkpoint
+Every id of the stream has one entry in the store, which Spark's own removal of duplicates keeps; texts stay out of
+it. A micro-batch looks up and adds only its own ids, so its cost follows its size and not the number of records so
+far, which are never read again. Its notes are joined to the ids that are new in it. A run with a new checkpoint
 starts from the ids of the records that are there: they go into the store with the first micro-batch, once.
 
 Each micro-batch writes its records to a folder of its own and replaces it when the batch is tried again, and so with its row
@@ -12,53 +13,48 @@ twice counts once.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from notewright.operators.joins import salted_join
 from notewright.session import path_exists, scratch_path, settle
 from notewright.streaming.incremental import done_ids
 
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+ROW, SEED, FIRST = "row", "seed", "first"
 LOG_COLUMNS = (
     "run_tag string, start_ts timestamp, end_ts timestamp, seen bigint, written bigint, skipped bigint, "
     "failed bigint, input_tokens bigint, output_tokens bigint, gen_ms bigint"
 )
 
 
-def mark_fresh(notes: DataFrame, seeds: DataFrame | None = None) -> DataFrame:
-    """Streaming ``notes (ord, id, note)`` with ``fresh``: whether no earlier micro-batch had the id.
+def with_firsts(notes: DataFrame, seeds: DataFrame | None = None) -> DataFrame:
+    """The rows of streaming ``notes (ord, id, note)``, and a row of kind ``FIRST`` for each id that no earlier
+    micro-batch had.
 
-    Rows that share a new id in one micro-batch are all fresh. ``seeds (id)`` is a stream of ids that are done; they
-    must all be there in the first micro-batch. A row that is not fresh comes with an empty note.
+    ``seeds (id)`` is a stream of ids that are done; they must all be there in the first micro-batch, and come out
+    with it as rows of kind ``SEED``. Only ids reach the store, in a batch's one shuffle by id.
     """
-    rows = notes.select("ord", "id", "note", F.lit(False).alias("seed"))
+    def bare(ids: DataFrame, kind: str) -> DataFrame:
+        return ids.select(
+            F.lit(None).cast("bigint").alias("ord"), "id", F.lit(None).cast("string").alias("note"), F.lit(kind).alias("kind")
+        )
+
+    rows, ids = notes.select("ord", "id", "note", F.lit(ROW).alias("kind")), notes.select("id")
     if seeds is not None:
-        rows = rows.unionByName(seeds.select(
-            F.lit(None).cast("bigint").alias("ord"), "id", F.lit(None).cast("string").alias("note"),
-            F.lit(True).alias("seed"),
-        ))
-
-    def of_one_id(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        done = state.exists
-        held = []
-        for frame in frames:
-            done = done or bool(frame["seed"].any())
-            held.append(frame.loc[~frame["seed"], ["ord", "id", "note"]])
-        if not state.exists:
-            state.update((True,))
-        for frame in held:
-            if len(frame):
-                yield frame.assign(note="" if done else frame["note"], fresh=not done)
-
-    return rows.groupBy("id").applyInPandasWithState(
-        of_one_id, "ord bigint, id string, note string, fresh boolean", "done boolean", "append",
-        GroupStateTimeout.NoTimeout,
-    )
+        rows, ids = rows.unionByName(bare(seeds, SEED)), ids.unionByName(seeds.select("id"))
+    return rows.unionByName(bare(ids.dropDuplicates(["id"]), FIRST))
+
+
+def fresh_rows(rows: DataFrame) -> DataFrame:
+    """The notes of a stored micro-batch whose id neither an earlier one had nor the seeds. Rows that share a new id
+    in one micro-batch are all fresh."""
+    notes = rows.where(F.col("kind") == ROW).drop("kind")
+    new = rows.where(F.col("kind") == FIRST).join(rows.where(F.col("kind") == SEED), "id", "left_anti").select("id")
+    return salted_join(notes, new, "id", "left_semi", spread_by="ord")
 
 
 def stream_seeds(spark: SparkSession, out: str, checkpoint: str) -> DataFrame:
@@ -84,7 +80,7 @@ def start_stateful(
     """
     spark = notes.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
-    marked = mark_fresh(notes, stream_seeds(spark, out, checkpoint))
+    marked = with_firsts(notes, stream_seeds(spark, out, checkpoint))
 
     def write_batch(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
@@ -92,11 +88,11 @@ def start_stateful(
         place = f"query={session.sparkContext.getLocalProperty('sql.streaming.queryId')}/batch={number}"
         # Stored once: looking at the batch again would run the state again.
         rows = settle(batch, scratch_path(session, "batch"))
-        fresh = rows.where("fresh").drop("fresh")
+        fresh = fresh_rows(rows)
         make_records(fresh).write.mode("overwrite").parquet(f"{out}/{place}")
         if log is not None:
             written = session.read.parquet(f"{out}/{place}")
-            row = counted(rows, written, run_tag, begin, dt.datetime.now(dt.timezone.utc))
+            row = counted(rows.where(F.col("kind") == ROW), fresh, written, run_tag, begin, dt.datetime.now(dt.timezone.utc))
             row.coalesce(1).write.mode("overwrite").json(f"{log}/{place}")
 
     return (
@@ -105,13 +101,17 @@ def start_stateful(
     )
 
 
-def counted(rows: DataFrame, written: DataFrame, run_tag: str, begin: dt.datetime, end: dt.datetime) -> DataFrame:
+def counted(
+    rows: DataFrame, fresh: DataFrame, written: DataFrame, run_tag: str, begin: dt.datetime, end: dt.datetime,
+) -> DataFrame:
     """The row of the run log for one micro-batch."""
     total = lambda name: (
         F.coalesce(F.sum(name), F.lit(0)) if name in written.columns else F.lit(0)
     ).cast("bigint").alias(name)
     failed = F.count_if(~F.col("extraction_ok")) if "extraction_ok" in written.columns else F.lit(0).cast("bigint")
-    came = rows.agg(F.count("*").alias("seen"), F.count_if(~F.col("fresh")).alias("skipped"))
+    came = rows.agg(F.count("*").alias("seen")).join(fresh.agg(F.count("*").alias("new"))).select(
+        "seen", (F.col("seen") - F.col("new")).alias("skipped")
+    )
     went = written.agg(
         F.count("*").alias("written"), failed.alias("failed"), total("input_tokens"), total("output_tokens"), total("gen_ms")
     )

@@ -84,3 +84,25 @@ def test_the_records_are_read_once_a_start_and_not_once_a_batch(spark, tmp_path,
         arrive(f"{tmp}/in", f"f{k}", [{"_id": f"i{k % 4}", "description": "a"}])
     assert len(run(spark, tmp, "c", files=1)) == 4
     assert len(calls) == 1
+
+
+def test_ids_are_looked_up_without_a_python_call_each(spark, tmp_path):
+    from notewright.streaming.stateful import fresh_rows, with_firsts
+    tmp = str(tmp_path)
+    arrive(f"{tmp}/in", "a", [{"_id": i, "description": f"n{k}"} for k, i in enumerate("xxyz")])
+    arrive(f"{tmp}/in", "b", [{"_id": i, "description": f"m{k}"} for k, i in enumerate("xwwq")])
+    spark.createDataFrame([("z",), ("q",)], "id string").coalesce(1).write.parquet(f"{tmp}/seeds")
+    notes = stream_json_notes(spark, f"{tmp}/in", files_per_batch=1)
+    plans, found = [], {}
+
+    def look(batch, number):
+        plans.append(batch._jdf.queryExecution().toString())
+        batch.write.parquet(f"{tmp}/batch{number}")
+        rows = fresh_rows(spark.read.parquet(f"{tmp}/batch{number}"))
+        found[number] = sorted((r["id"], r["note"]) for r in rows.collect())
+
+    marked = with_firsts(notes, spark.readStream.schema("id string").parquet(f"{tmp}/seeds"))
+    query = marked.writeStream.foreachBatch(look).option("checkpointLocation", f"{tmp}/c").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert found == {0: [("x", "n0"), ("x", "n1"), ("y", "n2")], 1: [("w", "m1"), ("w", "m2")]}
+    assert all("Pandas" not in plan for plan in plans)
