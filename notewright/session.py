@@ -19,6 +19,8 @@ PLAN_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Many folders are listed by this many tasks at most, and not by up to 10,000 of a folder each.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "256",
 }
 
 

@@ -36,3 +36,18 @@ def test_no_rows(spark, tmp_path):
     export_capped(df, str(tmp_path / "out"), "ord", "1KB")
     with pytest.raises(ValueError, match="two bytes"):
         export_capped(df, str(tmp_path / "out2"), "ord", 1)
+
+
+def test_many_shards_are_listed_by_few_tasks(spark, tmp_path):
+    df = spark.range(300).selectExpr("id AS ord", "repeat('x', 90) AS note")
+    path = str(tmp_path / "out")
+    export_capped(df, path, "ord", 100)
+    context, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
+    context.setJobGroup("listing", "listing")
+    try:
+        assert spark.read.parquet(path).select("shard").distinct().count() == 300
+        jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup("listing")]
+        stages = [tracker.getStageInfo(s) for job in jobs for s in job.stageIds]
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert max(stage.numTasks for stage in stages if stage) <= 256
