@@ -121,3 +121,33 @@ def test_odd_rows(spark, odd_documents, no_documents):
     rows = [(r["lang"], r["text"]) for r in odd_documents.collect()]
     assert got(phrases.phrases(odd_documents, least=3)) == plain_phrases(rows, 3, 2000)
     assert phrases.phrases(no_documents).count() == 0
+
+
+def test_blocks_come_back_and_are_small():
+    import numpy as np
+
+    from notewright.llm.lm import squeeze
+    from notewright.llm.phrases import added, packed, unpacked
+    rng = np.random.default_rng(3)
+    for many, rows in ((1, 1), (4000, 5000), (70_000, 90_000)):
+        kind = np.uint16 if many < 1 << 16 else np.uint32
+        codes = np.unique(rng.integers(0, 2**64, many, dtype=np.uint64))
+        columns = [rng.integers(0, len(codes), rows).astype(kind) for _ in range(4)]
+        columns, weights = added(columns, np.ones(rows, dtype=np.int64))
+        block = packed(codes, columns, weights)
+        for was, now in zip([codes, *columns, weights], unpacked(block), strict=True):
+            assert was.dtype == now.dtype and (was == now).all()
+        if rows > 1:
+            assert len(block) < 0.85 * len(squeeze(codes, *columns, weights))
+
+
+def test_a_chunk_is_full_whatever_other_languages_there_are(spark, monkeypatch):
+    from notewright.llm import phrases as module
+    monkeypatch.setattr(module, "CHUNK_BYTES", 4000)
+    monkeypatch.setattr(module, "HELD_BYTES", 16_000)
+    rows = [(f"l{k % 4}", "a b c d " * 25) for k in range(160)]
+    docs = spark.createDataFrame(rows, "lang string, text string").coalesce(1)
+    known = bytes([255]) * (module.FILTER_BITS // 8 + 1)
+    sent = module.send_grams(docs, 1, known, "", []).groupBy("lang", "level").count().collect()
+    # 40 texts of 200 bytes a language are two chunks.
+    assert {r["count"] for r in sent} == {2}
