@@ -14,7 +14,9 @@ contracted: the path stands for them. Of the others those that a longer phrase c
 
 A word seen less than ``LEAST`` times in every language can be in no phrase and ends a gram as a piece's end
 does. Which words those are is told by a filter of fixed size, made of exact counts; a word that it lets through costs
-work and changes nothing. Words travel as 64-bit hashes. No frequent word may share its hash with another word of the
+work and changes nothing. Words travel as 64-bit hashes, which a block gives once for each of its words. For the most
+frequent words, as many as a table of fixed size holds, it gives their places in that table instead, so what blocks
+repeat of the words hardly grows with their number. No frequent word may share its hash with another word of the
 corpus: that is checked on the whole vocabulary, and another salt is taken if it fails, so counts are exact. Scores are
 computed in decimals of 38 digits.
 
@@ -47,6 +49,8 @@ FIRST = 2000
 STOPS = b".,;:!?\n\v\f\r"
 SEED = 42  # of Spark's own hash of a text
 FILTER_BITS = 1 << 25
+COMMON_WORDS = 1 << 19  # that have places at most, 4 MB of hashes
+STEPS = 8  # of counts to a doubling, by which the words with places are told
 CHUNK_BYTES = 8_000_000  # of one language
 HELD_BYTES = 4 * CHUNK_BYTES  # of all languages that a task holds
 BUCKET_BYTES = 32_000_000
@@ -57,6 +61,7 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BREAK = b"\n"
 # The level of edges and ends of pieces that are dealt by their first three words; others are a number of words.
 NODES = LONGEST + 1
+_NONE = np.zeros(0, dtype=np.uint64)
 
 
 def tokens(text: str) -> list[bytes]:
@@ -123,6 +128,21 @@ def frequent_filter(words: DataFrame, salt: str, least: int = LEAST, bits: int =
     return whole.tobytes()
 
 
+def common_words(words: DataFrame, salt: str, least: int = LEAST, most: int = COMMON_WORDS) -> np.ndarray:
+    """The sorted codes of the words with the largest counts, ``most`` or fewer of them, after that of the break."""
+    plain = words.groupBy("word").agg(F.max("n").alias("often"), F.sum("n").alias("n")).where(F.col("often") >= least)
+    plain = plain.select(coded(plain, salt).alias("code"), F.floor(F.log2("n") * STEPS).alias("step"))
+    held, lowest = 0, None
+    for step, n in sorted(plain.groupBy("step").count().collect(), reverse=True):
+        held += n
+        if held > most:
+            break
+        lowest = step
+    found = plain.where(F.col("step") >= lowest) if lowest is not None else plain.limit(0)
+    codes = found.select("code").toArrow().column("code").to_numpy().view(np.uint64)
+    return np.unique(np.append(codes, np.uint64(0)))
+
+
 SENT_DDL = "level int, lang string, bucket int, block binary, gram array<bigint>, n bigint"
 SENT = pa.schema([
     ("level", pa.int32()), ("lang", pa.string()), ("bucket", pa.int32()), ("block", pa.binary()),
@@ -158,28 +178,39 @@ def added(columns: list[np.ndarray], weights: np.ndarray) -> tuple[list[np.ndarr
     return [c[order[firsts]] for c in columns], np.add.reduceat(weights[order], firsts)
 
 
-def packed(codes: np.ndarray, columns: list[np.ndarray], weights: np.ndarray) -> bytes:
+def packed(codes: np.ndarray, columns: list[np.ndarray], weights: np.ndarray, common: np.ndarray = _NONE) -> bytes:
     """Sorted codes, and grams sorted by the places of their words among them, as one block.
 
-    Codes and the first words go as steps and all numbers by their bytes' places, for much better compression."""
-    plane = lambda a: np.ascontiguousarray(a.view(np.uint8).reshape(len(a), -1).T).reshape(-1)
+    Codes in ``common`` go as their places there. Places, other codes and the first words go as steps and all numbers by
+    their bytes' places, for much better compression."""
+    plane = lambda a: np.ascontiguousarray(a.view(np.uint8).reshape(-1, a.itemsize).T).reshape(-1)
     step = lambda a: np.diff(a, prepend=a.dtype.type(0))
-    return squeeze(plane(step(codes)), plane(step(columns[0])), *map(plane, columns[1:]), plane(weights))
+    there = np.searchsorted(common, codes).astype(np.uint32)
+    known = np.zeros(len(codes), dtype=bool)
+    inside = there < len(common)
+    known[inside] = common[there[inside]] == codes[inside]
+    return squeeze(np.packbits(known), plane(step(there[known])), plane(step(codes[~known])), plane(step(columns[0])),
+                   *map(plane, columns[1:]), plane(weights))
 
 
-def unpacked(block: bytes) -> list[np.ndarray]:
-    """The codes, columns and weights of a block."""
-    parts = unsqueeze(block)
+def unpacked(block: bytes, common: np.ndarray = _NONE) -> list[np.ndarray]:
+    """The codes, columns and weights of a block that was packed with the same ``common``."""
+    bits, there, others, *parts = unsqueeze(block)
     rows = len(parts[-1]) // 8
     whole = lambda a, kind: np.ascontiguousarray(
         a.reshape(np.dtype(kind).itemsize, -1).T).view(kind).reshape(-1)
-    columns = [whole(a, f"u{len(a) // rows}") for a in parts[1:-1]]
+    there = np.cumsum(whole(there, np.uint32), dtype=np.uint32)
+    others = np.cumsum(whole(others, np.uint64), dtype=np.uint64)
+    codes = np.empty(len(there) + len(others), dtype=np.uint64)
+    known = np.unpackbits(bits, count=len(codes)).astype(bool)
+    codes[known], codes[~known] = common[there], others
+    columns = [whole(a, f"u{len(a) // rows}") for a in parts[:-1]]
     columns[0] = np.cumsum(columns[0], dtype=columns[0].dtype)
-    return [np.cumsum(whole(parts[0], np.uint64), dtype=np.uint64), *columns, whole(parts[-1], np.int64)]
+    return [codes, *columns, whole(parts[-1], np.int64)]
 
 
 def dealt(
-    codes: np.ndarray, columns: list[np.ndarray], weights: np.ndarray, buckets: int, by: int
+    codes: np.ndarray, columns: list[np.ndarray], weights: np.ndarray, buckets: int, by: int, common: np.ndarray = _NONE
 ) -> Iterator[tuple[int, bytes]]:
     """Grams as blocks for buckets, dealt by their first ``by`` words. ``codes`` are the words that the numbers in
     ``columns`` stand for."""
@@ -192,7 +223,7 @@ def dealt(
         kind = np.uint16 if len(used) < 1 << 16 else np.uint32
         place = np.zeros(int(used[-1]) + 1, dtype=kind)
         place[used] = np.arange(len(used), dtype=kind)
-        yield b, packed(codes[used], [place[c] for c in mine], weights[at].astype(np.int64))
+        yield b, packed(codes[used], [place[c] for c in mine], weights[at].astype(np.int64), common)
 
 
 def longest_grams(codes: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -219,7 +250,8 @@ def by_level(columns: list[np.ndarray], hot: np.ndarray) -> Iterator[tuple[int,
 
 
 def send_grams(
-    docs: DataFrame, buckets: int, known: bytes, salt: str, heavy: list[int], bits: int = FILTER_BITS
+    docs: DataFrame, buckets: int, known: bytes, salt: str, heavy: list[int], bits: int = FILTER_BITS,
+    common: np.ndarray = _NONE,
 ) -> DataFrame:
     """The longest grams of each chunk, a block for each level and bucket."""
 
@@ -241,7 +273,7 @@ def send_grams(
             codes, columns = longest_grams(np.concatenate(held.pop(lang)))
             columns, weights = added(columns, np.ones(len(columns[0]), dtype=np.int64))
             for level, those, size, by in by_level(columns, np.isin(codes, hot)):
-                for b, block in dealt(codes, [c[those] for c in columns[:size]], weights[those], buckets, by):
+                for b, block in dealt(codes, [c[those] for c in columns[:size]], weights[those], buckets, by, common):
                     yield level, lang, b, block, None, None
 
         for lang, text in column_rows(batches, "lang", "text"):
@@ -265,9 +297,11 @@ def send_grams(
     return docs.mapInArrow(lambda batches: row_batches(rows(batches), SENT, 16), SENT_DDL)
 
 
-def merged(blocks: Iterable[bytes], size: int) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+def merged(
+    blocks: Iterable[bytes], size: int, common: np.ndarray = _NONE
+) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
     """Codes, grams and weights of all blocks of a bucket together. Code 0 is number 0, as in the blocks."""
-    parts = [unpacked(block) for block in blocks]
+    parts = [unpacked(block, common) for block in blocks]
     codes, place = np.unique(np.concatenate([np.zeros(1, np.uint64), *[p[0] for p in parts]]), return_inverse=True)
     place = place[1:].astype(np.int32)
     starts = np.cumsum([0] + [len(p[0]) for p in parts])
@@ -276,7 +310,7 @@ def merged(blocks: Iterable[bytes], size: int) -> tuple[np.ndarray, list[np.ndar
     return codes, *added(columns, np.concatenate([p[-1] for p in parts]))
 
 
-def flowed(blocks: DataFrame, now: tuple[int, ...], buckets: int, least: int) -> DataFrame:
+def flowed(blocks: DataFrame, now: tuple[int, ...], buckets: int, least: int, common: np.ndarray = _NONE) -> DataFrame:
     """The grams of the levels of ``now`` with their counts, where these are ``least`` or more, and as blocks the
     flow through the grams one word shorter that they begin with. Blocks of other levels are added up and dealt anew."""
 
@@ -286,9 +320,9 @@ def flowed(blocks: DataFrame, now: tuple[int, ...], buckets: int, least: int) ->
             in column_rows(batches, "bucket", "level", "lang", "block")
         ):
             size = min(level, LONGEST)
-            codes, columns, weights = merged((block for _, block in group), size)
+            codes, columns, weights = merged((block for _, block in group), size, common)
             if level not in now:
-                for b, block in dealt(codes, columns, weights, buckets, size):
+                for b, block in dealt(codes, columns, weights, buckets, size, common):
                     yield level, lang, b, block, None, None
                 continue
             for size in range(size, LONGEST - 2 if level == NODES else size - 1, -1):
@@ -299,7 +333,7 @@ def flowed(blocks: DataFrame, now: tuple[int, ...], buckets: int, least: int) ->
                     yield size, lang, None, None, gram, n
                 columns, weights = added(columns[:-1], weights) if size > 1 else ([], weights[:0])
             if columns:
-                for b, block in dealt(codes, columns, weights, buckets, size - 1):
+                for b, block in dealt(codes, columns, weights, buckets, size - 1, common):
                     yield size - 1, lang, b, block, None, None
 
     spread = one_a_task(blocks.select("bucket", "level", "lang", "block"), buckets)
@@ -319,11 +353,11 @@ def frequent_grams(docs: DataFrame, words: DataFrame, salt: str, least: int = LE
     """``(lang, gram, n)``: all grams of one to four words that occur ``least`` times, by the hashes of their words."""
     spark = docs.sparkSession
     buckets = bucket_count(docs, BUCKET_BYTES, shuffle_partitions(spark))
-    known = frequent_filter(words, salt, least)
-    flow = send_grams(docs, buckets, known, salt, heavy_words(words, salt, buckets))
+    known, common = frequent_filter(words, salt, least), common_words(words, salt, least)
+    flow = send_grams(docs, buckets, known, salt, heavy_words(words, salt, buckets), common=common)
     found = None
     for now in ((NODES, LONGEST), *((level,) for level in range(LONGEST - 1, 0, -1))):
-        flow = settle(flowed(flow, now, buckets, least), scratch_path(spark, "grams"))
+        flow = settle(flowed(flow, now, buckets, least, common), scratch_path(spark, "grams"))
         grams = flow.where("gram IS NOT NULL").select("lang", "gram", "n")
         found = grams if found is None else found.unionByName(grams)
         flow = flow.where("block IS NOT NULL")

@@ -151,3 +151,51 @@ def test_a_chunk_is_full_whatever_other_languages_there_are(spark, monkeypatch):
     sent = module.send_grams(docs, 1, known, "", []).groupBy("lang", "level").count().collect()
     # 40 texts of 200 bytes a language are two chunks.
     assert {r["count"] for r in sent} == {2}
+
+
+def test_blocks_hardly_grow_with_the_number_of_buckets():
+    """Each bucket had the 64-bit codes of its words again."""
+    import numpy as np
+    rng = np.random.default_rng(5)
+    common = np.unique(np.append(rng.integers(1, 2**64, 60_000, dtype=np.uint64), np.uint64(0)))
+    others = rng.integers(1, 2**64, 500, dtype=np.uint64)
+    words = np.concatenate([rng.choice(common, 20_000, replace=False), others, np.zeros(1, np.uint64)])
+    text = words[np.minimum(rng.zipf(1.3, 200_000), len(words)) - 1]
+    codes, columns = phrases.longest_grams(np.append(text, np.uint64(0)))
+    columns, weights = phrases.added(columns, np.ones(len(columns[0]), dtype=np.int64))
+    sizes = {}
+    for buckets in (4, 64):
+        blocks = [b for _, b in phrases.dealt(codes, columns, weights, buckets, 3, common)]
+        sizes[buckets] = sum(map(len, blocks))
+        back_codes, back, back_weights = phrases.merged(blocks, 4, common)
+        now = dict(zip(zip(*[back_codes[c].tolist() for c in back]), back_weights.tolist()))
+        assert now == dict(zip(zip(*[codes[c].tolist() for c in columns]), weights.tolist()))
+    assert sizes[64] < 1.3 * sizes[4]
+
+
+def test_words_with_places_are_the_most_frequent_and_few(spark):
+    words = spark.createDataFrame([("en", f"w{k}", k) for k in range(20, 1000)], "lang string, word string, n bigint")
+    codes = [r[0] % 2**64 for r in words.orderBy("n").select(phrases.coded(words, "s")).collect()]
+    assert phrases.common_words(words, "s").tolist() == sorted([0, *codes[10:]])
+    some = phrases.common_words(words, "s", most=200).tolist()
+    assert 100 < len(some) <= 201 and some == sorted([0, *codes[-(len(some) - 1):]])
+    assert phrases.common_words(words, "s", most=0).tolist() == [0]
+
+
+def test_the_table_of_words_changes_no_result(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "CHUNK_BYTES", 2000)
+    rows = sentences(6, 200)
+    df = spark.createDataFrame(rows, "lang string, text string")
+    want = plain_phrases(rows, 4, 60)
+    real = phrases.common_words
+    sizes = []
+
+    def few(words, salt, least):
+        found = real(words, salt, least, most)
+        sizes.append(len(found))
+        return found
+
+    monkeypatch.setattr(phrases, "common_words", few)
+    for most in (0, 12):
+        assert got(phrases.phrases(df, least=4, first=60)) == want
+    assert sizes[0] == 1 < sizes[1] <= 13
