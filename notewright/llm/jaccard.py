@@ -4,7 +4,8 @@ A document's set is its distinct shingles, hashed to 64 bits. Equal sets are one
 pass over the texts each chunk of documents sends its hashes to buckets of the hash space; a bucket counts in how
 many sets a shingle is (copies within a chunk are one) and answers for those of two sets or more. What only one set has
 can match nothing. A set of which less than the needed overlap is shared has no partner and ends here; so most
-documents never meet another.
+documents never meet another. The answer is the place of a shingle among the shared ones of its bucket. From both
+follows a number of its own, so sets go on as short numbers, which stand for the hashes one to one.
 
 The shingles of what is left are ordered by that count, rarest first. Two sets of similarity t share at least ``ceil(t * n)``
 shingles, so their prefixes of ``n - ceil(t * n) + m`` share at least ``m``. Each set chooses its ``m`` by the least
@@ -40,7 +41,7 @@ from notewright.llm.base import (
     bucket_count, by_bucket, column_rows, lane, mixed, one_a_task, ready, row_batches, texts,
 )
 from notewright.llm.components import components
-from notewright.llm.lm import by_shard, squeeze, unsqueeze
+from notewright.llm.lm import by_shard, from_planes, planes, squeeze, unsqueeze
 from notewright.llm.simhash import with_components
 from notewright.session import scratch_path, settle, shuffle_partitions
 
@@ -110,7 +111,9 @@ def digests(docs: DataFrame) -> DataFrame:
 
 
 def send_sets(docs: DataFrame, buckets: int) -> DataFrame:
-    """The hashes of each chunk's distinct sets dealt to buckets; one row of a chunk has its sets' sizes and digests."""
+    """The hashes of each chunk's distinct sets dealt to buckets; one row of a chunk has its sets' sizes and digests.
+
+    A bucket has the hashes of one remainder, so only the quotients are sent."""
 
     def closed(held: list[tuple[np.ndarray, bytes]], name: str) -> Iterator[tuple]:
         if not held:
@@ -122,7 +125,8 @@ def send_sets(docs: DataFrame, buckets: int) -> DataFrame:
         doc = np.repeat(np.arange(len(held), dtype=np.uint16), sizes)[order]
         hashes = hashes[order]
         for b, at in by_bucket(hashes % np.uint64(buckets), buckets):
-            yield b, name, squeeze(np.diff(hashes[at], prepend=np.uint64(0)), doc[at]), info
+            steps = np.diff(hashes[at] // np.uint64(buckets), prepend=np.uint64(0))
+            yield b, name, squeeze(planes(steps), planes(doc[at])), info
             info = None
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
@@ -145,16 +149,17 @@ def send_sets(docs: DataFrame, buckets: int) -> DataFrame:
 
 
 def shared_shingles(sent: DataFrame, buckets: int) -> DataFrame:
-    """``(chunk, block, info)``: back to each chunk the shingles that two sets or more have, with their counts."""
-    schema = pa.schema([("chunk", pa.string()), ("block", pa.binary()), ("info", pa.binary())])
+    """``(chunk, bucket, block, info)``: back to each chunk the shingles that two sets or more have, by their places
+    among those of the bucket, with their counts."""
+    schema = pa.schema([("chunk", pa.string()), ("bucket", pa.int32()), ("block", pa.binary()), ("info", pa.binary())])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        for _, group in by_shard(column_rows(batches, "bucket", "chunk", "block", "info")):
+        for bucket, group in by_shard(column_rows(batches, "bucket", "chunk", "block", "info")):
             blocks = []
             for _, name, block, info in group:
                 if info is not None:
-                    yield name, None, info
-                steps, doc = unsqueeze(block)
+                    yield name, bucket, None, info
+                steps, doc = map(from_planes, unsqueeze(block), (np.uint64, np.uint16))
                 blocks.append((name, np.cumsum(steps, dtype=np.uint64), doc))
             every = np.sort(np.concatenate([b[1] for b in blocks]))
             first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
@@ -166,14 +171,25 @@ def shared_shingles(sent: DataFrame, buckets: int) -> DataFrame:
                 at = np.minimum(np.searchsorted(found, hashes), len(found) - 1)
                 kept = found[at] == hashes
                 if kept.any():
-                    yield name, squeeze(doc[kept], hashes[kept], counts[at[kept]]), None
+                    steps = np.diff(at[kept].astype(np.uint64), prepend=np.uint64(0))
+                    yield name, bucket, squeeze(*map(planes, (doc[kept], steps, counts[at[kept]]))), None
 
     spread = one_a_task(sent, buckets).sortWithinPartitions("bucket", "chunk")
     return spread.mapInArrow(
-        lambda batches: row_batches(rows(batches), schema, 8), "chunk string, block binary, info binary"
+        lambda batches: row_batches(rows(batches), schema, 8), "chunk string, bucket int, block binary, info binary"
     )
 
 
+def short(tokens: np.ndarray) -> bytes:
+    """The numbers of shingles in 4 bytes each if they fit, else in 8."""
+    return tokens.astype(np.uint32 if int(tokens.max(initial=0)) < 1 << 32 else np.uint64).tobytes()
+
+
+def whole(tokens: bytes, n: int) -> np.ndarray:
+    """The ``n`` numbers of :func:`short`."""
+    return np.frombuffer(tokens, f"u{len(tokens) // n}").astype(np.uint64)
+
+
 def sketch(tokens: np.ndarray) -> np.ndarray:
     """Bits that tell whether an odd number of shingles falls on them; two differ in no more bits than shingles."""
     place = (mixed(tokens) % np.uint64(SKETCH_BITS)).astype(np.int64)
@@ -200,14 +216,19 @@ SET = pa.schema([
 ])
 
 
-def possible_sets(shared: DataFrame) -> DataFrame:
+def possible_sets(shared: DataFrame, buckets: int) -> DataFrame:
     """The distinct sets that share enough to have a partner: ``own`` shingles are theirs alone, ``tokens`` are the
     others in order, ``counts`` those of the longest prefix, ``wanted`` the shared prefix shingles they ask for."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        for _, group in by_shard(column_rows(batches, "chunk", "block", "info")):
-            sizes, names = next(unsqueeze(info) for _, _, info in group if info is not None)
-            blocks = [unsqueeze(block) for _, block, _ in group if block is not None]
+        for _, group in by_shard(column_rows(batches, "chunk", "bucket", "block", "info")):
+            sizes, names = next(unsqueeze(info) for _, _, _, info in group if info is not None)
+            blocks = []
+            for _, bucket, block, _ in group:
+                if block is not None:
+                    doc, steps, counts = map(from_planes, unsqueeze(block), (np.uint16, np.uint64, np.uint32))
+                    places = np.cumsum(steps, dtype=np.uint64)
+                    blocks.append((doc, places * np.uint64(buckets) + np.uint64(bucket), counts))
             if not blocks:
                 continue
             doc, tokens, counts = (np.concatenate(part) for part in zip(*blocks))
@@ -221,7 +242,7 @@ def possible_sets(shared: DataFrame) -> DataFrame:
                     continue
                 mine, often = tokens[start:end], counts[start:end]
                 yield (names[16 * k:16 * k + 16].tobytes(), n, n - len(mine), matches(often, free, need),
-                       mine.tobytes(), often[:free + MOST_MATCHES].tobytes(), sketch(mine).tobytes())
+                       short(mine), often[:free + MOST_MATCHES].tobytes(), sketch(mine).tobytes())
 
     spread = shared.repartition(shuffle_partitions(shared.sparkSession), "chunk").sortWithinPartitions("chunk")
     found = spread.mapInArrow(lambda batches: row_batches(rows(batches), SET, 64), SET_DDL)
@@ -247,7 +268,7 @@ def postings(sets: DataFrame) -> DataFrame:
             batches, "same", "n", "own", "wanted", "tokens", "counts", "sketch"
         ):
             often = np.frombuffer(counts, np.uint32).tolist()
-            prefix = np.frombuffer(tokens, np.int64)[:len(often)].tolist()
+            prefix = whole(tokens, n - own)[:len(often)].tolist()
             free = n - own - overlap(n)
             mine = int.from_bytes(same[:8], "little")
             for at, (token, count) in enumerate(zip(prefix, often)):
@@ -373,7 +394,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         for a, b, wanted, n_a, own_a, one, n_b, own_b, two in column_rows(
             batches, "a", "b", "wanted", "n_a", "own_a", "tokens_a", "n_b", "own_b", "tokens_b"
         ):
-            one, two = np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64)
+            one, two = whole(one, n_a - own_a), whole(two, n_b - own_b)
             # In the order of all shingles, so the prefix is what comes first.
             heads = [t[:n - own - overlap(n) + wanted] for t, n, own in ((one, n_a, own_a), (two, n_b, own_b))]
             if len(np.intersect1d(*heads, assume_unique=True)) < wanted:
@@ -406,7 +427,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     buckets = bucket_count(docs, BUCKET_BYTES, shuffle_partitions(spark))
     rows = settle(digests(docs), scratch_path(spark, "digests"))
     # Only what is sent is shuffled; the texts are read again rather than kept a second time as hashes.
-    sets = settle(possible_sets(shared_shingles(send_sets(docs, buckets), buckets)), scratch_path(spark, "possible"))
+    shared = shared_shingles(send_sets(docs, buckets), buckets)
+    sets = settle(possible_sets(shared, buckets), scratch_path(spark, "possible"))
     found = with_components(rows.where("fingerprint IS NOT NULL"), links(sets))
     lone = rows.where("fingerprint IS NULL").withColumn("component_id", F.col("doc_id"))
     return found.select("doc_id", "n_shingles", "component_id").unionByName(lone.drop("fingerprint"))

@@ -134,3 +134,36 @@ def test_odd_rows(spark, odd_documents, no_documents):
     rows = [(r["doc_id"], r["text"]) for r in odd_documents.collect()]
     assert got(jaccard.jaccard_components(odd_documents)) == plain_results(rows)
     assert jaccard.jaccard_components(no_documents).count() == 0
+
+
+def test_short_numbers_stand_for_shingles_one_to_one(spark, monkeypatch):
+    """They were hashes of 8 bytes, on the way back and in every set."""
+    monkeypatch.setattr(jaccard, "CHUNK_BYTES", 5000)
+    texts = families(11, 6, 12, 120)
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    shared = jaccard.shared_shingles(jaccard.send_sets(df, 5), 5)
+    found = {r["same"]: r for r in jaccard.possible_sets(shared, 5).collect()}
+    hashes = {jaccard.digest(s): set(s.tolist()) for s in map(jaccard.Sets().of, texts)}
+    assert len(found) > 20
+    for r in found.values():
+        assert len(r["tokens"]) == 4 * (r["n"] - r["own"])
+    tokens = {same: set(np.frombuffer(r["tokens"], np.uint32).tolist()) for same, r in found.items()}
+    for a in tokens:
+        for b in tokens:
+            if a != b:
+                assert len(tokens[a] & tokens[b]) == len(hashes[a] & hashes[b])
+
+
+def test_numbers_that_do_not_fit_stay_long():
+    for top in (2**32 - 1, 2**32, 2**63):
+        numbers = np.array([3, top, 5], dtype=np.uint64)
+        held = jaccard.short(numbers)
+        assert len(held) == (12 if top < 2**32 else 24) and (jaccard.whole(held, 3) == numbers).all()
+
+
+def test_what_is_sent_is_small(spark):
+    """Of the hashes the bucket and the order are known."""
+    rng = random.Random(12)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(400)) for _ in range(300)]
+    sent = jaccard.send_sets(spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1), 16)
+    assert sum(len(r["block"]) for r in sent.collect()) < 8 * 300 * 398
